@@ -45,16 +45,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_group_stats(rows: DataFrame, key: str, member: Column, aggs: dict[str, tuple], salts: int = 64) -> DataFrame:
-    """Attach per-group aggregates to every row of rows, whatever the group sizes.
+def _salt(member: Column) -> Column:
+    return F.pmod(F.xxhash64(member), F.lit(64)).cast("int")
 
-    aggs: output name -> (partial aggregate, final aggregate of a column), e.g. ``(F.max("id"), F.max)``.
-    A group is first aggregated by (key, salt), then by key; the result goes back by (key, salt), so the
-    rows of one key meet in `salts` places and never in one. member decides a row's salt.
+
+def _dealt(whole: DataFrame) -> DataFrame:
+    """One row for each salt that a group's rows have, from the group's mask of them."""
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("_mask", i) == 1)
+    return whole.withColumn("_salt", F.explode(bits)).drop("_mask")
+
+
+def _mask(member: Column) -> Column:
+    return F.bit_or(F.expr("shiftleft(1L, _salt)")).alias("_mask")
+
+
+def with_group_stats(rows: DataFrame, key: str, member: Column, *aggs: Column, where: Column | None = None) -> DataFrame:
+    """Attach aggregates of its group to every row of rows, however large a group is.
+
+    Groups are aggregated by key (a row for each key and task moves) together with a 64-bit mask of their
+    rows' salts; a group's result goes back once for each salt, so the rows of one key meet in 64 places and
+    never in one. member decides a row's salt; where keeps only the groups for which it holds.
     """
-    salt = F.pmod(F.xxhash64(member), F.lit(salts)).cast("int")
-    salted = rows.withColumn("_salt", salt)
-    part = salted.groupBy(key, "_salt").agg(*[a.alias(n) for n, (a, _) in aggs.items()])
-    whole = part.groupBy(key).agg(*[f(n).alias(n) for n, (_, f) in aggs.items()], F.collect_set("_salt").alias("_salts"))
-    back = whole.withColumn("_salt", F.explode("_salts")).drop("_salts")
-    return salted.join(back, [key, "_salt"]).drop("_salt")
+    salted = rows.withColumn("_salt", _salt(member))
+    whole = salted.groupBy(key).agg(*aggs, _mask(member))
+    whole = whole if where is None else whole.where(where)
+    return salted.join(_dealt(whole), [key, "_salt"]).drop("_salt")
+
+
+def attach(rows: DataFrame, key: str, lookup: DataFrame, member: Column) -> DataFrame:
+    """Left join of rows with lookup (unique by key), in 64 places for each key, like with_group_stats."""
+    salted = rows.withColumn("_salt", _salt(member))
+    places = salted.groupBy(key).agg(_mask(member)).join(lookup, key)
+    return salted.join(_dealt(places), [key, "_salt"], "left").drop("_salt")

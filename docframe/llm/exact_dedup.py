@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docframe.llm._io import fresh_path
+from docframe.llm._io import attach, fresh_path
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -60,25 +60,21 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def decide(docs: DataFrame, index: DigestIndex | None = None, salts: int = 64) -> DataFrame:
+def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, digest for every row of docs.
 
     docs is added to the index (a new one if none is given), and each row's answer is its index row, brought
-    back by (digest, salt) so that a hot text is dealt to `salts` places. The index holds rows of earlier
-    batches too: a text known before keeps the id it had then, and none of docs' copies stays.
+    back in 64 places for each digest. The index holds rows of earlier batches too: a text known before keeps
+    the id it had then, and none of docs' copies stays.
     """
     index = index or DigestIndex(docs.sparkSession)
     index.add(docs)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
-    rows = digests(docs).withColumn("_salt", salt)
-    places = rows.select("digest", "_salt").distinct()
     known = index.known().select("digest", "keep_id", F.col("seen").alias("group_size"))
-    back = places.join(known, "digest").select("digest", "_salt", "keep_id", "group_size")
-    out = rows.join(back, ["digest", "_salt"])
+    out = attach(digests(docs), "digest", known, F.col("doc_id"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
-def dedup(docs: DataFrame, salts: int = 64) -> DataFrame:
+def dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: of equal texts the one with the largest doc_id, all columns as they are.
 
     Rows that repeat doc_id and text fall to one. Only (doc_id, digest) is grouped; the texts then meet the

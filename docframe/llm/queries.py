@@ -4,10 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm._io import table
+from docframe.llm._io import fold_of, table
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.secrets import listed, scan
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of("assign", "access", "hex")
+    found = scan(table(spark, sf_dir, "documents"))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.toxicity import ToxicityModel
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ToxicityModel.fit(docs, table(spark, sf_dir, "labels")).apply(docs)
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +43,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.lm_score import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.minhash import near_groups
+
+    out = near_groups(table(spark, sf_dir, "documents"), width=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docframe.llm.mixing import assign
 
@@ -31,10 +70,31 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), taken.alias("taken"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docframe.llm.quality import QualityModel
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = QualityModel.fit(docs, table(spark, sf_dir, "labels")).apply(docs)
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_lm_score": op5_lm_score,
+    "op6_minhash": op6_minhash,
+    "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_warc": op9_warc,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -43,6 +103,12 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages),
+        q AS (SELECT *, octet_length(encode(html)) >= 100 AND page_id <> first_id AS again FROM p)
+        SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to FROM q
+    """,
     "op8_mixing": """
         WITH d AS (SELECT doc_id, source, substr(md5('8:' || coalesce(doc_id::VARCHAR, '')), 1, 3) AS bucket,
                           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
