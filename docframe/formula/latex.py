@@ -98,7 +98,7 @@ def defects(latex: str) -> list[str]:
             elif not environments or environments.pop() != name:
                 found.append("ENVIRONMENT_MISMATCH")
     found += ["BRACE_OPEN"] * (depth > 0) + ["FENCE_OPEN"] * (fences > 0) + ["ENVIRONMENT_OPEN"] * bool(environments)
-    if any("" <= c <= "" for c in latex):
+    if any("\ue000" <= c <= "\uf8ff" for c in latex):
         found.append("PRIVATE_CHARACTER")
     if not latex.strip():
         found.append("EMPTY")

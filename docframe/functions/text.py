@@ -8,6 +8,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @lru_cache(maxsize=1)
@@ -49,7 +50,7 @@ def strip(text: Column) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    return F.regexp_replace(text, "[ \t ]+", " ")
+    return F.regexp_replace(text, "[ \t\u00a0]+", " ")
 
 
 def html_escape(text: Column) -> Column:
@@ -70,7 +71,7 @@ def html_cleanup(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<blockquote>"), F.lit("")), F.lit("</blockquote>"), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition, which Spark has no function for."""
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
