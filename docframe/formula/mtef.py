@@ -24,7 +24,7 @@ class Damaged(Exception):
 
 class Stream:
     def __init__(self, data: bytes):
-        self.data, self.at, self.fonts, self.selectors = data, 0, [], []
+        self.data, self.at, self.fonts, self.selectors, self.damaged = data, 0, [], [], False
 
     def byte(self) -> int:
         if self.at >= len(self.data):
@@ -114,34 +114,39 @@ class Stream:
             raise Damaged(f"record {kind}")
 
     def objects(self, depth: int = 0) -> list:
-        """Nodes up to the list's END record, or the stream's end at the top."""
-        if depth > DEEPEST:
-            raise Damaged("too deep")
+        """Nodes up to the list's END record, or up to where the stream ends or is damaged."""
         out: list = []
-        while True:
-            if depth == 0 and self.at >= len(self.data):
-                return out
-            kind = self.byte()
-            if kind == END:
-                return out
-            if kind == LINE:
-                out.append(("row", self.line(depth)))
-            elif kind == CHAR:
-                out += self.char(depth)
-            elif kind == TMPL:
-                out.append(self.template(depth))
-            elif kind == PILE:
-                options = self.byte()
-                self.nudge(options)
-                self.byte(), self.byte()
-                if options & HAS_RULER:
-                    self.ruler()
-                rows = [x[1] for x in self.objects(depth + 1) if x[0] == "row"]
-                out.append(("lines", rows) if len(rows) > 1 else ("row", rows[0] if rows else []))
-            elif kind == MATRIX:
-                out.append(self.matrix(depth))
-            else:
-                self.skip(kind)
+        try:
+            if depth > DEEPEST:
+                raise Damaged("too deep")
+            while depth or self.at < len(self.data):
+                kind = self.byte()
+                if kind == END:
+                    break
+                out += self.node(kind, depth)
+        except Damaged:
+            self.damaged, self.at = True, len(self.data)
+        return out
+
+    def node(self, kind: int, depth: int) -> list:
+        if kind == LINE:
+            return [("row", self.line(depth))]
+        if kind == CHAR:
+            return self.char(depth)
+        if kind == TMPL:
+            return [self.template(depth)]
+        if kind == MATRIX:
+            return [self.matrix(depth)]
+        if kind == PILE:
+            options = self.byte()
+            self.nudge(options)
+            self.byte(), self.byte()
+            if options & HAS_RULER:
+                self.ruler()
+            rows = [x[1] for x in self.objects(depth + 1) if x[0] == "row"]
+            return [("lines", rows) if len(rows) > 1 else ("row", rows[0] if rows else [])]
+        self.skip(kind)
+        return []
 
     def line(self, depth: int) -> list:
         options = self.byte()
@@ -248,7 +253,7 @@ def decode(stream: bytes | None) -> dict:
         reader.string()
         reader.byte()
         nodes = reader.objects()
-        partial = any(stream[reader.at :])
+        partial = reader.damaged or any(stream[reader.at :])
     except Damaged:
         partial = True
     text = latex.to_latex(nodes)
