@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docframe.llm._io import attach, fresh_path
+from docframe.llm._io import attach, cut, fresh_path
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -46,7 +46,9 @@ class DigestIndex:
     def fresh(self, docs: DataFrame) -> DataFrame:
         """The digests of docs that the index has not, each with its keep_id and count."""
         found = digests(docs).groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("seen"))
-        found = found.repartition(self.buckets, "digest")
+        # Written first: the optimizer would move the anti-join below the aggregate, and every copy of a text
+        # would go to its digest's task.
+        found = cut(found, "batch-digests").repartition(self.buckets, "digest")
         return found.join(self.known().select("digest").hint("merge"), "digest", "left_anti")
 
     def add(self, docs: DataFrame) -> None:
