@@ -193,6 +193,36 @@ def test_near_groups_against_brute_force(spark):
     assert got == brute_groups(texts, 4, 80)
 
 
+def test_bucket_of_several_groups_is_closed(spark, monkeypatch):
+    """One bucket of pairs that are like each other and unlike its centre: every pair is found, in blocks too."""
+    rng = random.Random(3)
+    texts = []
+    for k in range(14):
+        base = [f"g{k}w{rng.randrange(10**6)}" for _ in range(rng.choice([5, 40, 90, 260]))]
+        texts += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base + ["end"]))]
+    monkeypatch.setattr(minhash, "band_keys", lambda signature: np.full((len(signature), 1), 7, np.uint64))
+    for block in (1024, 5):
+        monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(frame(spark, texts), width=4).collect()}
+        want = brute_groups(texts, 4, 80)
+        assert got == want and len({c for _, c in want.values()}) < len(texts)
+
+
+def test_bitmaps_never_drop_a_pair_that_passes():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 9, 16, 17, 100, 129, 1000, 20000):
+        items = rng.integers(0, 1 << 63, 2 * n).astype(np.uint64) * np.uint64(2)
+        sets = [np.sort(items[:n]), *[np.sort(items[k : k + m]) for k, m in ((n // 12, n), (0, n + n // 4), (n // 5, n - n // 5), (n // 3, n))]]
+        size = np.array([len(s) for s in sets])
+        maps = [minhash.bitmap(s).tobytes() for s in sets]
+        found = {frozenset(p) for x, y in minhash._near(np.arange(5), np.zeros(5), size, maps, 80) for p in zip(x.tolist(), y.tolist())}
+        for a in range(5):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                assert 100 * both < 80 * (size[a] + size[b] - both) or frozenset((a, b)) in found
+        assert n < 1000 or frozenset((0, 4)) not in found
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 300), (300, 400), (400, 200)]
     labels = {r.node: r.label for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
