@@ -112,6 +112,12 @@ def data_uri(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("n_chars <= 500").select("doc_id", text.data_uri(F.col("text").cast("binary"), F.lit("text/plain")).alias("img"))
 
 
+@query()
+def data_uri_whole(spark, sf_dir):
+    """Every document's whole text; data_uri is bound to its SQL, which takes texts of up to 500 characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.data_uri(F.coalesce("text", F.lit("")).cast("binary"), F.lit("text/plain")).alias("img"))
+
+
 # ---- blocks and structure ------------------------------------------------------------------------------------
 
 
