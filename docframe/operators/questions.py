@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docframe.functions.text import fold
+from docframe.functions.text import fold, strip_html
 from docframe.operators.structure import islands
 from docframe.plans import config
 
@@ -123,8 +123,11 @@ def trim_question(text: Column) -> Column:
 
 
 def prompt(question: Column, choices_text: Column, most: int = 800) -> Column:
-    lettered = F.transform(choices_text, lambda c, i: F.concat(F.char(i + 65), F.lit(". "), c))
-    return F.concat_ws("\n", F.substring(question, 1, most), F.array_join(lettered, "\n"))
+    """The request to label a question: it and its lettered choices without tags, each of at most `most` characters."""
+    plain = lambda c: strip_html(F.coalesce(c, F.lit("")), most)
+    lettered = F.transform(choices_text, lambda c, i: F.concat(F.char(i + 65), F.lit(". "), plain(c)))
+    listed = F.when(F.size(choices_text) > 0, F.concat(F.lit("\n\nLua chon:\n"), F.array_join(lettered, "\n")))
+    return F.concat(F.lit("Cau hoi:\n"), plain(question), F.coalesce(listed, F.lit("")), F.lit("\n\nPhan loai muc do nhan thuc:"))
 
 
 def parse_label(raw: Column) -> Column:

@@ -463,6 +463,15 @@ def head_blocks(spark, sf_dir):
 def label_prompt(spark, sf_dir):
     options = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.substring(x["text"], 1, 20))
     grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_q"), options.alias("_c"))
+    lettered = F.transform("_c", lambda c, i: F.concat(F.char(i + 65), F.lit(". "), c))
+    return grouped.select("conv_id", F.concat_ws("\n", F.substring("_q", 1, 800), F.array_join(lettered, "\n")).alias("prompt"))
+
+
+@query()
+def label_prompt_whole(spark, sf_dir):
+    """The prompt of whole turns; label_prompt is bound to its SQL, which takes the first 20 characters of each."""
+    options = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_q"), options.alias("_c"))
     return grouped.select("conv_id", Q.prompt(F.col("_q"), F.col("_c")).alias("prompt"))
 
 

@@ -1,6 +1,7 @@
 """Queries that take the whole input where an older one is bound to its SQL, against plain Python."""
 
 import base64
+import re
 
 from docframe.plans.catalog import QUERIES
 
@@ -10,3 +11,14 @@ def test_data_uri_of_every_document(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.img for r in QUERIES["data_uri_whole"](spark, str(tmp_path)).collect()}
     assert got == {i: f'<img src="data:text/plain;base64,{base64.b64encode(t.encode()).decode()}">' if t else "" for i, t, _ in texts}
+
+
+def test_label_prompt_of_whole_turns(spark, tmp_path):
+    turns = [(1, 0, "<p>Which  of\n these</p>?"), (1, 1, "a choice that is longer than <b>twenty</b> characters"), (1, 2, "x " * 500 + "<i>y</i>"), (2, 1, None), (2, 0, "đ" * 900)]
+    spark.createDataFrame(turns, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    plain = lambda t: re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", t or "")).strip()[:800]
+    want = {}
+    for conv in (1, 2):
+        said = [plain(t) for c, _, t in sorted(turns, key=lambda x: x[:2]) if c == conv]
+        want[conv] = f"Cau hoi:\n{said[0]}\n\nLua chon:\n" + "\n".join(f"{chr(65 + i)}. {t}" for i, t in enumerate(said)) + "\n\nPhan loai muc do nhan thuc:"
+    assert {r.conv_id: r.prompt for r in QUERIES["label_prompt_whole"](spark, str(tmp_path)).collect()} == want
