@@ -311,10 +311,14 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its group, one row each, all columns as they are."""
-    none = F.lit(-(1 << 63))
-    kept = near_groups(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.select(F.coalesce("doc_id", none).alias("_id")).distinct()
-    met = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), none)).join(ids.hint("merge"), "_id", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("text")))
+    """Of each group the row with the smallest doc_id (null first), all columns as they are. Rows are told apart by
+    doc_id and text, so rows that repeat a doc_id or have none are one only where their texts are near copies."""
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    row = F.xxhash64(own, F.col("doc_id").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull())
+    groups = near_groups(docs.select(row.alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    named = groups.join(docs.select(row.alias("_row"), own.alias("_own")).distinct(), "_row")
+    least = F.min(F.struct("_own", "_row")).alias("_least")
+    kept = with_group_stats(named, "component_id", F.col("_row"), least).where("_row = _least._row").select("_row")
+    met = docs.withColumn("_row", row).join(kept.hint("merge"), "_row", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
     return met.withColumn("_first", first).where("_first = 1").select(*docs.columns)

@@ -247,6 +247,13 @@ def test_near_dedup_edges(spark):
     assert minhash.near_groups(mixed(spark).limit(0)).count() == 0
 
 
+def test_near_dedup_keeps_unrelated_rows_of_one_id(spark):
+    texts = [(None, "one two three four five six"), (None, "quite another text without an id"), (4, "the first of id four"), (4, "and the second of id four says more")]
+    texts += [(6, " ".join(f"w{i}" for i in range(60))), (4, " ".join(f"w{i}" for i in range(61))), (4, "the first of id four")]
+    kept = [(r.doc_id, r.text) for r in minhash.near_dedup(frame(spark, texts)).collect()]
+    assert sorted(kept, key=repr) == sorted([*texts[:4], texts[5]], key=repr)
+
+
 # ---- 7 packing -----------------------------------------------------------------------------------------------
 
 
