@@ -27,8 +27,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at weights 5, 2, 1 in turn, at most three repetitions: a repeated document is a repeated row."""
-    return mixing.mix(docs)
+    """Sources at weights 5, 2, 1 in turn, at most three repetitions: a repeated document is a repeated row, and every row
+    is a whole document."""
+    return mixing.mix_whole(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docframe.llm._io import cut as written
+
 SPACE = r"\x20\x09-\x0D"
 
 
@@ -86,3 +88,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float =
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*docs.columns)
+
+
+def mix_whole(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 3, seed: int = 8) -> DataFrame:
+    """The mixed corpus in whole documents: as mix, but the words of the bucket at the edge are given by whole
+    documents in seeded order, the last one where half of it or more is asked for."""
+    rows = written(assign(docs, weights, epochs, seed).where("_size > 0 AND _copies + _part > 0"), "mixed")
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), F.xxhash64("text")
+    source = Window.partitionBy("source")
+    edge = rows.where("_part > 0").withColumn("_before", F.coalesce(F.sum("_size").over(source.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    more = (2 * F.col("_before") + F.col("_size") <= 2 * F.sum("_part").over(source)).cast("long")
+    edge = edge.withColumn("_copies", F.col("_copies") + more).drop("_before")
+    dealt = rows.where("_part = 0").unionByName(edge).where("_copies > 0")
+    return dealt.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -344,6 +344,22 @@ def test_mixing(spark):
     assert mixing.assign(mixed(spark)).count() == 8 and mixing.mix(mixed(spark).limit(0)).count() == 0
 
 
+def test_mix_in_whole_documents(spark):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{k}" for k in range(rng.randrange(40))), "en", rng.choice(["a", "b", "c", None]), 0) for i in range(400)] + [(900, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    taken, target = collections.Counter(), {r.source: r._target for r in mixing.assign(docs).collect()}
+    whole = {r[0]: r[1] for r in rows}
+    got = corpus_pipeline.mix(spark, docs, "").collect()
+    for r in got:
+        assert r.text == whole[r.doc_id]
+        taken[r.source] += len(r.text.split())
+    assert all(abs(taken[s] - t) <= 25 for s, t in target.items())
+    assert sorted(corpus_pipeline.mix(spark, docs, "").collect(), key=repr) == sorted(got, key=repr)
+
+
 # ---- 9 archives ----------------------------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string"
