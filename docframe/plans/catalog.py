@@ -366,26 +366,60 @@ def doc_stats(spark, sf_dir):
     return _stats(spark, sf_dir)
 
 
+def _every(spark, sf_dir, rows):
+    """rows (one a document that has lines) and a row for every other doc_id, without values."""
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id")).distinct()
+    return ids.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")), "left").drop("doc_id").withColumnRenamed("_id", "doc_id")
+
+
+def _stats_whole(spark, sf_dir):
+    return _every(spark, sf_dir, _stats(spark, sf_dir)).fillna(0, ["blocks", "sections", "words", "tables", "n_starts"])
+
+
+@query()
+def doc_stats_whole(spark, sf_dir):
+    """With zeros for documents without lines, which doc_stats, bound to its SQL, leaves out; so the three below."""
+    return _stats_whole(spark, sf_dir)
+
+
+@query()
+def qa_gates_whole(spark, sf_dir):
+    return _gates(_stats_whole(spark, sf_dir)).select("doc_id", "flags", "status")
+
+
+@query()
+def qa_rollup_whole(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id"), "lang")
+    met = docs.join(_gates(_stats_whole(spark, sf_dir)), F.col("_id").eqNullSafe(F.col("doc_id")))
+    return met.rollup("lang", "status").agg(F.count("*").alias("docs"))
+
+
+@query()
+def theory_bounds_whole(spark, sf_dir):
+    rows = _every(spark, sf_dir, _bounds(spark, sf_dir)).fillna(0, ["n_starts"])
+    return rows.withColumn("flags", F.coalesce("flags", F.lit("THEORY_START_NOT_FOUND")))
+
+
 GATES = STATS + """, g AS (SELECT doc_id, words < 50 AND tables < 2 AS f1, 1.0 - 0.05 * least(tables, 10) AS share, sections = 0 AS f4, words < 150 AS w1, n_starts <> 1 AS w4 FROM st),
   q AS (SELECT doc_id, concat_ws(',', CASE WHEN f1 THEN 'FEW_WORDS' END, CASE WHEN share < 0.7 THEN 'FORMULAS_UNRESOLVED' END, CASE WHEN f4 THEN 'NO_SECTIONS' END,
     CASE WHEN w1 THEN 'SHORT' END, CASE WHEN share < 0.9 THEN 'SOME_UNRESOLVED' END, CASE WHEN w4 THEN 'MARKERS' END) AS flags,
     CASE WHEN f1 OR share < 0.7 OR f4 THEN 'FAIL' WHEN w1 OR share < 0.9 OR w4 THEN 'WARN' ELSE 'PASS' END AS status FROM g)"""
 
 
-def _gates(spark, sf_dir):
+def _gates(stats):
     few = F.least(F.col("tables"), F.lit(10))
-    stats = _stats(spark, sf_dir).withColumn("figures", F.col("tables")).withColumn("formulas", F.lit(20)).withColumn("resolved", 20 - few)
+    stats = stats.withColumn("figures", F.col("tables")).withColumn("formulas", F.lit(20)).withColumn("resolved", 20 - few)
     return quality.gates(stats.withColumn("coverage", F.lit(1.0)).withColumn("inline_bytes", F.lit(0)))
 
 
 @query(f"WITH {GATES} SELECT * FROM q")
 def qa_gates(spark, sf_dir):
-    return _gates(spark, sf_dir).select("doc_id", "flags", "status")
+    return _gates(_stats(spark, sf_dir)).select("doc_id", "flags", "status")
 
 
 @query(f"WITH {GATES} SELECT lang, status, count(*) AS docs FROM q JOIN documents USING (doc_id) GROUP BY ROLLUP (lang, status)")
 def qa_rollup(spark, sf_dir):
-    met = _gates(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    met = _gates(_stats(spark, sf_dir)).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     return met.rollup("lang", "status").agg(F.count("*").alias("docs"))
 
 

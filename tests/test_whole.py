@@ -22,3 +22,15 @@ def test_label_prompt_of_whole_turns(spark, tmp_path):
         said = [plain(t) for c, _, t in sorted(turns, key=lambda x: x[:2]) if c == conv]
         want[conv] = f"Cau hoi:\n{said[0]}\n\nLua chon:\n" + "\n".join(f"{chr(65 + i)}. {t}" for i, t in enumerate(said)) + "\n\nPhan loai muc do nhan thuc:"
     assert {r.conv_id: r.prompt for r in QUERIES["label_prompt_whole"](spark, str(tmp_path)).collect()} == want
+
+
+def test_documents_without_lines_are_counted(spark, tmp_path):
+    texts = [(1, "one two", "en"), (2, None, "en"), (3, "", "vi"), (4, " \n\t", None), (None, None, "vi")]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {name: QUERIES[f"{name}_whole"](spark, str(tmp_path)).collect() for name in ("doc_stats", "qa_gates", "qa_rollup", "theory_bounds")}
+    assert {r.doc_id: (r.blocks, r.sections, r.words, r.tables, r.n_starts) for r in rows["doc_stats"]} == {1: (1, 1, 2, 0, 1)} | dict.fromkeys((2, 3, 4, None), (0,) * 5)
+    gates = {r.doc_id: (r.flags, r.status) for r in rows["qa_gates"]}
+    assert len(gates) == 5 and all("FEW_WORDS" in gates[i][0] and "NO_SECTIONS" in gates[i][0] and gates[i][1] == "FAIL" for i in (2, 3, 4, None))
+    assert max(r.docs for r in rows["qa_rollup"]) == 5
+    bounds = {r.doc_id: (r.first, r.last, r.n_starts, r.flags) for r in rows["theory_bounds"]}
+    assert len(bounds) == 5 and all(bounds[i] == (None, None, 0, "THEORY_START_NOT_FOUND") for i in (2, 3, 4, None))
