@@ -3,7 +3,8 @@
 A document is the mean of the learned vectors of its features: every word, every pair of neighbouring words
 and every run of 3 or 4 bytes inside a word, hashed to a table of 2**18 rows; neighbours that are one word
 twice share a row. A softmax over two classes reads the mean. Trained by stochastic gradient descent in numpy
-on a bounded sample (sample_per_class labelled rows of each class); every whole text is scored.
+on a bounded sample (sample_per_class labelled rows of each class) in one executor task; every whole text is
+scored, a few megabytes of texts (or one longer text) at a time: memory is some 100 bytes for each byte of them.
 
 As the output is linear in the mean, a row's part in it is one number, so scoring gathers one number for each
 feature. Defined results: null and empty texts have no feature and get the score of the bias alone; repeated
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm._labels import labelled_sample
+from docframe.llm._labels import labelled_rows, trained
 from docframe.llm._words import IS_SPACE, hash_spans, mix, slices, text_buffer, word_bounds
 
 TABLE_BITS = 18
@@ -58,11 +59,11 @@ def train(texts: list[str], labels: list[int], dim: int = 16, epochs: int = 6, r
     table = (rng.random((1 << TABLE_BITS, dim), np.float32) - 0.5) / dim
     out, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     bags = []
-    for i in range(0, len(texts), 256):
-        rows, offsets = features(pa.array(texts[i : i + 256], pa.string()))
+    for part in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])], most=1 << 19):
+        rows, offsets = features(part.column(0))
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             which, times = np.unique(rows[a:b], return_counts=True)
-            bags.append((which, (times / max(b - a, 1)).astype(np.float32)))
+            bags.append((which.astype(np.int32), (times / max(b - a, 1)).astype(np.float32)))
     steps, done = epochs * len(bags), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
@@ -83,6 +84,11 @@ def train(texts: list[str], labels: list[int], dim: int = 16, epochs: int = 6, r
     return both.astype(np.float32), float(bias[1] - bias[0])
 
 
+def _packed(texts: list[str], labels: list[int]) -> bytes:
+    parts, bias = train(texts, labels)
+    return np.append(parts, np.float32(bias)).tobytes()
+
+
 def score_texts(column: pa.Array, parts: np.ndarray, bias: float) -> np.ndarray:
     rows, offsets = features(column)
     sums = np.concatenate([[0.0], np.cumsum(parts[rows], dtype=np.float64)])
@@ -99,10 +105,11 @@ class QualityModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, label: str = "quality", sample_per_class: int = 1500, most_chars: int = 20_000) -> QualityModel:
-        texts, values = labelled_sample(docs, labels, label, sample_per_class, most_chars)
-        if len(set(values)) < 2:
+        model = trained(labelled_rows(docs, labels, label, sample_per_class, most_chars), _packed)
+        if model is None:
             return cls(np.zeros(1 << TABLE_BITS, np.float32), 0.0)
-        return cls(*train(texts, values))
+        values = np.frombuffer(model, np.float32)
+        return cls(values[:-1], float(values[-1]))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc_id, score of every row."""

@@ -17,12 +17,14 @@ repeated rows score alike; without labels every score is 0.5; labels, lang, sour
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm._labels import labelled_sample
+from docframe.llm._labels import labelled_rows, trained
 from docframe.llm._words import hash_spans, mix, slices, text_buffer, word_bounds
 
 WINDOW, STRIDE, DIM, HIDDEN, TABLE_BITS = 64, 48, 12, 10, 15
@@ -267,6 +269,17 @@ def fit(texts: list[str], labels: list[int], share: float = 0.1, least: int = 10
     return p
 
 
+def _packed(texts: list[str], labels: list[int]) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **fit(texts, labels))
+    return out.getvalue()
+
+
+def _unpacked(model: bytes) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(model)) as arrays:
+        return dict(arrays)
+
+
 class ToxicityModel:
     """Parameters of fixed size (3 MB)."""
 
@@ -275,8 +288,8 @@ class ToxicityModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_per_class: int = 2000, most_chars: int = 8_000) -> ToxicityModel:
-        texts, values = labelled_sample(docs, labels, label, sample_per_class, most_chars)
-        return cls(fit(texts, values) if len(set(values)) == 2 else None)
+        model = trained(labelled_rows(docs, labels, label, sample_per_class, most_chars), _packed)
+        return cls(None if model is None else _unpacked(model))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc_id, score of every row."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from docframe.llm import _words as words
 from docframe.llm import exact_dedup, fingerprint, lm_score, minhash, mixing, packing, quality, toxicity, warc
-from docframe.llm._labels import labelled_sample
+from docframe.llm._labels import labelled_rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "lorem ipsum dolor " * 4000
@@ -457,7 +457,13 @@ def test_windows_cover_every_word():
 
 def test_sample_is_bounded_and_held_out(spark):
     docs, labels = labelled(spark, 200, ["x"], GOOD)
-    texts, values = labelled_sample(docs, labels, "toxic", 20, 10_000)
-    assert sorted(values) == [0] * 20 + [1] * 20
-    held = {t for i, t in docs.select("doc_id", "text").collect() if zlib.crc32(str(i).encode()) % 5 == 0}
-    assert not held & set(texts)
+    rows = labelled_rows(docs, labels, "toxic", 20, 10_000).collect()
+    assert sorted(r._label for r in rows) == [0] * 20 + [1] * 20
+    assert not any(zlib.crc32(str(r._id).encode()) % 5 == 0 for r in rows)
+
+
+def test_sample_of_contradictions_and_repeats(spark):
+    docs = frame(spark, [(1, "b"), (1, "a"), (2, "x"), (3, "y"), (4, "z" * 50), (6, None)])
+    labels = spark.createDataFrame([(1, 0), (1, 0), (2, 0), (2, 1), (3, 1), (4, 1), (6, 1), (None, 1), (3, None)], "doc_id long, toxic int")
+    rows = labelled_rows(docs, labels, "toxic", 20, 10, held_fold=9).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", 0), (3, "y", 1)]
