@@ -5,33 +5,36 @@ smallest hash. An empty bin borrows from the first bin that is not empty in an o
 for all documents, so every bin agrees with probability equal to the Jaccard likeness. 32 bands of 4 bins
 are the buckets: two sets of likeness 0.8 share a bucket with probability 1 - 5e-8.
 
-Documents with equal sets are one class and only its smallest doc_id goes on. In every bucket the member with
-the most company in all its buckets is the centre and is paired with every other: star-shaped candidates, a
-number linear in the bucket. A pair is a link if it passes on the full sets. Links are contracted to components
-by hashed minima, a bounded number of rows per node and round.
+Every row has a random number of its own (uid), given when its sketch is written, so rows are told apart whatever
+their doc_ids are. Rows with equal sets are one class and only its first row goes on. In every bucket the member
+with the most company in all its buckets is the centre and is paired with every other whose size allows it:
+star-shaped candidates, a number linear in the bucket. A pair is a link if it passes on the full sets. Links are
+contracted to components by minima of uids, a bounded number of rows per node and round.
 
 Buckets of three or more whose members are then in several components are closed: every pair of such a bucket
 that lies across components is compared, in blocks, by parity bitmaps of the sets. Bitmaps of sets that differ in d
 shingles differ in at most d bits, so a pair that differs in more bits than the likeness allows cannot pass, and
 all other pairs are tested on the full sets. So two documents of one bucket that pass are always joined.
 
-Defined results: documents without words (null and empty texts) have n_shingles 0 and are linked with
-nothing; rows that repeat a doc_id share its component; classes whose smallest doc_id is the same count as
-linked; an empty table gives an empty result.
+Defined results: documents without words (null and empty texts) have n_shingles 0, are linked with nothing and
+have their own doc_id as component_id; a null doc_id counts as smaller than any; rows that repeat a doc_id are
+linked only if their texts are; an empty table gives an empty result. Texts are hashed a few megabytes at a time
+(or one longer text alone): memory is some 60 bytes for each byte of them.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docframe.llm._io import attach, cut, with_group_stats
 from docframe.llm._words import mix, slices, words
 
 BINS, ROWS, BLOCK = 128, 4, 1024
+NULL_ID = -(1 << 63)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 #: For each bin, the order in which it looks for a bin to borrow from.
@@ -90,66 +93,78 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def _narrow(docs: DataFrame) -> DataFrame:
+    """doc_id (null as the smallest long), th (64 bits of the text: two texts of one doc_id differ in it), text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), _text_hash(text).alias("th"), text.alias("text"))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit digest (hi, lo) and its band keys, for every row."""
+    """uid, doc_id, th, n_shingles, the set's 128-bit digest (hi, lo) and its band keys, for every row."""
 
     def run(batches):
+        context = TaskContext.get()
+        begin = (context.partitionId() if context else 0) << 33
         for batch in slices(batches):
-            hashes, offsets = shingles(batch.column(1), width)
+            hashes, offsets = shingles(batch.column(2), width)
             keys = band_keys(signatures(hashes, offsets))
             size = np.diff(offsets)
             some = keys[size > 0].view(np.int64).reshape(-1)
             ends = np.concatenate([[0], np.cumsum(np.where(size > 0, keys.shape[1], 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(some))
             digests = [pa.array(_sums(mix(hashes ^ np.uint64(seed)), offsets).view(np.int64)) for seed in (5, 6)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), *digests, lists], ["doc_id", "n_shingles", "hi", "lo", "bands"])
+            uid = mix(np.arange(begin, begin + len(size), dtype=np.uint64)).view(np.int64)
+            begin += len(size)
+            yield pa.RecordBatch.from_arrays([pa.array(uid), batch.column(0), batch.column(1), pa.array(size, pa.int64()), *digests, lists], ["uid", "doc_id", "th", "n_shingles", "hi", "lo", "bands"])
 
-    return _narrow(docs).mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, bands array<long>")
+    return _narrow(docs).mapInArrow(run, "uid long, doc_id long, th long, n_shingles long, hi long, lo long, bands array<long>")
 
 
-def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and its sorted shingle hashes."""
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """uid and its sorted shingle hashes, of rows (uid, text)."""
 
     def run(batches):
         for batch in slices(batches):
             hashes, offsets = shingles(batch.column(1), width)
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "items"])
-
-    return _narrow(docs).mapInArrow(run, "doc_id long, items array<long>")
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["uid", "items"])
 
+    return texts.select("uid", "text").mapInArrow(run, "uid long, items array<long>")
 
-def _narrow(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-
-def _star(buckets: DataFrame, centre: Column) -> DataFrame:
-    """(a, b), a < b: each member of a bucket with the bucket's centre, an aggregate."""
-    met = with_group_stats(buckets, "bucket", F.col("doc_id"), centre.alias("_c"))
-    pairs = met.select("doc_id", "_c").where("doc_id != _c")
-    return pairs.select(F.least("doc_id", "_c").alias("a"), F.greatest("doc_id", "_c").alias("b")).distinct()
+def _star(buckets: DataFrame, centre: Column, percent: int) -> DataFrame:
+    """(a, b), a < b: each member of a bucket with the bucket's centre, where their sizes let the pair pass."""
+    met = with_group_stats(buckets, "bucket", F.col("uid"), centre.alias("_c"))
+    small, large = F.least("n", "_c.n"), F.greatest("n", "_c.n")
+    pairs = met.where((F.col("uid") != F.col("_c.uid")) & (100 * small >= percent * large)).select("uid", F.col("_c.uid").alias("_c"))
+    return pairs.select(F.least("uid", "_c").alias("a"), F.greatest("uid", "_c").alias("b")).distinct()
 
 
 def _most_company(buckets: DataFrame) -> DataFrame:
     """buckets with _rank: how many members a document's buckets have in all, then a hash against ties. A text
     from which many others were made has their common bins, so it comes first among them."""
-    company = buckets.groupBy("doc_id").agg(F.sum("_n").alias("_w"))
-    tie = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 20) - 1))
-    return buckets.join(company, "doc_id").withColumn("_rank", F.shiftleft(F.col("_w"), 20).bitwiseOR(tie)).drop("_w")
+    company = buckets.groupBy("uid").agg(F.sum("_n").alias("_w"))
+    tie = F.col("uid").bitwiseAND(F.lit((1 << 20) - 1))
+    return buckets.join(company, "uid").withColumn("_rank", F.shiftleft(F.col("_w"), 20).bitwiseOR(tie)).drop("_w")
 
 
-def sets_of(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and shingle hashes of the documents in a pair; only their texts are hashed again."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = _narrow(docs).join(ids.hint("merge"), "doc_id", "left_semi")
-    return cut(full_sets(wanted.dropDuplicates(["doc_id"]), width), "shingle-sets")
+def sets_of(ids: DataFrame, firsts: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """uid and shingle hashes of the rows in ids; only their texts are hashed again. Rows that repeat doc_id and
+    text fall to one before they move."""
+    wanted = firsts.select("uid", "doc_id", "th").join(ids, "uid", "left_semi")
+    texts = _narrow(docs).groupBy("doc_id", "th").agg(F.first("text").alias("text"))
+    return cut(full_sets(texts.join(wanted.hint("merge"), ["doc_id", "th"]), width), "shingle-sets")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets pass 100 x intersection >= percent x union. A document in many pairs meets them
     in 64 places."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("_x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("_y"))
+    left = sets.select(F.col("uid").alias("a"), F.col("items").alias("_x"))
+    right = sets.select(F.col("uid").alias("b"), F.col("items").alias("_y"))
     met = attach(attach(pairs, "a", left, F.col("b")), "b", right, F.col("a"))
     both = F.size(F.array_intersect("_x", "_y"))
     return met.where(100 * both >= percent * (F.size("_x") + F.size("_y") - both)).select("a", "b")
@@ -169,16 +184,16 @@ def _folded(maps: np.ndarray) -> np.ndarray:
 
 
 def bitmaps(sets: DataFrame) -> DataFrame:
-    """doc_id, its number of shingles and its bitmap."""
+    """uid and its set's bitmap."""
 
     def run(batches):
         for batch in batches:
             lists = batch.column(1)
             values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
             maps = [bitmap(values[ends[i] : ends[i + 1]]).tobytes() for i in range(len(lists))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(maps, pa.binary())], ["doc_id", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], ["uid", "bits"])
 
-    return sets.mapInArrow(run, "doc_id long, n long, bits binary")
+    return sets.mapInArrow(run, "uid long, bits binary")
 
 
 def _near(label: np.ndarray, side: np.ndarray, n: np.ndarray, maps: list[bytes], percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -211,17 +226,17 @@ def _near(label: np.ndarray, side: np.ndarray, n: np.ndarray, maps: list[bytes],
 
 
 def across(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: the pairs of a bucket across components that may pass, of members (bucket, _n, doc_id, label, n,
+    """(a, b), a < b: the pairs of a bucket across components that may pass, of members (bucket, _n, uid, label, n,
     bits). A bucket is dealt into blocks of about BLOCK members and a cell of two blocks is one task's work, so no
     task meets more than two blocks of a bucket at once, and only pairs that may pass become rows."""
     parts = F.ceil(F.col("_n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("_g")).cast("int")
+    own = F.pmod(F.xxhash64("uid"), F.col("_g")).cast("int")
     dealt = members.withColumn("_g", parts).withColumn("_i", own).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
     cell = F.xxhash64("bucket", F.least("_i", "_j"), F.greatest("_i", "_j")).alias("cell")
-    rows = dealt.select(cell, F.col("_i").alias("side"), "doc_id", "label", "n", "bits")
+    rows = dealt.select(cell, F.col("_i").alias("side"), "uid", "label", "n", "bits")
 
     def pairs(whole: pa.Table):
-        ids, label, side, n = (whole.column(c).to_numpy() for c in ("doc_id", "label", "side", "n"))
+        ids, label, side, n = (whole.column(c).to_numpy() for c in ("uid", "label", "side", "n"))
         maps, cells = whole.column("bits").to_pylist(), whole.column("cell").to_numpy()
         starts = np.r_[0, np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)]
         for lo, hi in zip(starts[:-1], starts[1:]):
@@ -248,77 +263,77 @@ def across(members: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
 
 
-def _scattered(x: Column) -> Column:
-    """A bijection of longs in whose order chains of growing ids are short."""
-    x = x.bitwiseXOR(F.shiftleft(x, 13))
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, 7))
-    return x.bitwiseXOR(F.shiftleft(x, 17))
-
-
 def components(links: DataFrame) -> DataFrame:
-    """node, label for every node of links (a, b): equal labels where a path joins them.
+    """node, label for every node of links (a, b), whose numbers are random longs: equal labels where a path joins them.
 
     Each round every node points to its smallest neighbour or itself, and the links between what is pointed to
-    go to the next round; each round's pointers are kept and followed at the end."""
-    edges = cut(links.select(_scattered(F.col("a")).alias("u"), _scattered(F.col("b")).alias("v")), "links")
-    labels = None
-    while labels is None or not edges.isEmpty():
+    go to the next round, in which fewer nodes are left. Each round's pointers are kept and followed from the last
+    round to the first."""
+    edges, rounds = cut(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links"), []
+    while not rounds or not edges.isEmpty():
         ends = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         points = cut(ends.groupBy("u").agg(F.least("u", F.min("v")).alias("to")), "pointers")
+        rounds.append(points)
         u, v = points.select("u", F.col("to").alias("x")), points.select(F.col("u").alias("v"), F.col("to").alias("y"))
         moved = attach(attach(edges, "u", u, F.col("v")), "v", v, F.col("x"))
         edges = cut(moved.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).where("u != v").distinct(), "links")
-        if labels is None:
-            labels = points.select(F.col("u").alias("node"), F.col("to").alias("label"))
-        else:
-            step = points.select(F.col("u").alias("label"), F.col("to").alias("_next"))
-            labels = attach(labels, "label", step, F.col("node")).select("node", F.coalesce("_next", "label").alias("label"))
-        labels = cut(labels, "labels")
+    labels = rounds.pop().select(F.col("u").alias("node"), F.col("to").alias("label"))
+    for points in reversed(rounds):
+        step = labels.select(F.col("node").alias("label"), F.col("label").alias("_next"))
+        labels = attach(points.select(F.col("u").alias("node"), F.col("to").alias("label")), "label", step, F.col("node"))
+        labels = cut(labels.select("node", F.coalesce("_next", "label").alias("label")), "labels")
     return labels
 
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) for every row of docs."""
+def _label(rows: DataFrame, key: str, labels: DataFrame, name: str, member: Column) -> DataFrame:
+    """rows with the label of the node in key, or the node itself where no link has it."""
+    named = labels.select(F.col("node").alias(key), F.col("label").alias("_l"))
+    return attach(rows, key, named, member).withColumn(name, F.coalesce("_l", key)).drop("_l")
+
+
+def near_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """uid, doc_id (null as the smallest long), th, n_shingles, component_id, first_uid (the component's row with the
+    smallest doc_id) for every row of docs."""
     sketch = cut(sketches(docs, width), "sketches")
-    by_class = sketch.where("n_shingles > 0").withColumn("_set", F.struct("hi", "lo"))
-    members = with_group_stats(by_class, "_set", F.col("doc_id"), F.min("doc_id").alias("first_id"))
-    members = cut(members.select("doc_id", "n_shingles", "first_id", F.when(F.col("doc_id") == F.col("first_id"), F.col("bands")).alias("bands")), "classes")
-    firsts = members.where("doc_id = first_id")
-    rows = firsts.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = _most_company(cut(with_group_stats(rows, "bucket", F.col("doc_id"), F.count("*").alias("_n"), where=F.col("_n") > 1), "buckets"))
-    tested = cut(_star(shared, F.max_by("doc_id", "_rank")), "pairs")
-    sets = sets_of(tested, docs, width)  # of every member of a shared bucket, so of the closing too
+    by_set = sketch.where("n_shingles > 0").withColumn("_set", F.struct("hi", "lo"))
+    members = with_group_stats(by_set, "_set", F.col("uid"), F.min(F.struct("doc_id", "uid")).alias("_first"))
+    bands = F.when(F.col("uid") == F.col("_first.uid"), F.col("bands")).alias("bands")
+    members = cut(members.select("uid", "doc_id", "th", "n_shingles", F.col("_first.uid").alias("class"), bands), "classes")
+    firsts = members.where("uid = class")
+    rows = firsts.select("uid", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    shared = cut(with_group_stats(rows, "bucket", F.col("uid"), F.count("*").alias("_n"), where=F.col("_n") > 1), "buckets")
+    tested = cut(_star(_most_company(shared), F.max_by(F.struct("uid", "n"), "_rank"), percent), "pairs")
+    sets = sets_of(shared.select("uid").distinct(), firsts, docs, width)
     links = cut(verify(tested, sets, percent), "near-links")
     labels = components(links)
-    node = labels.select(F.col("node").alias("_p"), "label")
-    placed = shared.where("_n > 2").withColumn("_p", _scattered(F.col("doc_id"))).join(node, "_p", "left")
-    placed = placed.select("bucket", "_n", "doc_id", F.coalesce("label", "_p").alias("label"))
-    open_ = with_group_stats(placed, "bucket", F.col("doc_id"), F.min("label").alias("_low"), F.max("label").alias("_high"), where=F.col("_low") != F.col("_high"))
-    maybe = across(open_.drop("_low", "_high").join(bitmaps(sets), "doc_id"), percent)
+    placed = shared.where("_n > 2").join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    open_ = with_group_stats(placed, "bucket", F.col("uid"), F.min("label").alias("_low"), F.max("label").alias("_high"), where=F.col("_low") != F.col("_high"))
+    maybe = across(open_.drop("_low", "_high").join(bitmaps(sets), "uid"), percent)
     more = cut(maybe.join(tested, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        found = cut(verify(more, sets, percent), "near-links")
-        if not found.isEmpty():
-            labels = components(links.unionByName(found))
-    node = labels.select(F.col("node").alias("_p"), "label")
-    placed = attach(members.select("doc_id", "n_shingles", "first_id", _scattered(F.col("first_id")).alias("_p")), "_p", node, F.col("doc_id"))
-    placed = placed.withColumn("label", F.coalesce("label", "_p"))
-    grouped = with_group_stats(placed, "label", F.col("doc_id"), F.min("doc_id").alias("component_id"))
-    out = grouped.select("doc_id", "n_shingles", "component_id")
-    alone = sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    none = F.lit(-(1 << 63))
-    return out.unionByName(alone).select(*[F.when(F.col(c) != none, F.col(c)).alias(c) if c != "n_shingles" else F.col(c) for c in out.columns])
+        found = _label(_label(verify(more, sets, percent), "a", labels, "_x", F.col("b")), "b", labels, "_y", F.col("a"))
+        between = cut(found.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct(), "near-links")
+        if not between.isEmpty():
+            joined = components(between)
+            linked = labels.unionByName(joined.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+            labels = cut(_label(linked, "label", joined, "_to", F.col("node")).select("node", F.col("_to").alias("label")), "labels")
+    placed = _label(members.drop("bands"), "class", labels, "label", F.col("uid"))
+    least = with_group_stats(placed, "label", F.col("uid"), F.min(F.struct("doc_id", "uid")).alias("_least"))
+    out = least.select("uid", "doc_id", "th", "n_shingles", F.col("_least.doc_id").alias("component_id"), F.col("_least.uid").alias("first_uid"))
+    alone = sketch.where("n_shingles = 0").select("uid", "doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"), F.col("uid").alias("first_uid"))
+    return out.unionByName(alone)
+
+
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) for every row of docs."""
+    own = lambda c: F.when(F.col(c) != F.lit(NULL_ID), F.col(c)).alias(c)
+    return near_rows(docs, width, percent).select(own("doc_id"), "n_shingles", own("component_id"))
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Of each group the row with the smallest doc_id (null first), all columns as they are. Rows are told apart by
-    doc_id and text, so rows that repeat a doc_id or have none are one only where their texts are near copies."""
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    row = F.xxhash64(own, F.col("doc_id").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull())
-    groups = near_groups(docs.select(row.alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("_row"), "component_id").distinct()
-    named = groups.join(docs.select(row.alias("_row"), own.alias("_own")).distinct(), "_row")
-    least = F.min(F.struct("_own", "_row")).alias("_least")
-    kept = with_group_stats(named, "component_id", F.col("_row"), least).where("_row = _least._row").select("_row")
-    met = docs.withColumn("_row", row).join(kept.hint("merge"), "_row", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    return met.withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    """Of each group the row with the smallest doc_id (null first), all columns as they are. Rows that repeat doc_id
+    and text fall to one of them; other rows that repeat a doc_id or have none go only as near copies."""
+    kept = near_rows(docs, width, percent).where("uid = first_uid").select("doc_id", "th").distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = whole.select(F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), _text_hash(F.col("row.text").cast("string")).alias("th"), "row")
+    return named.groupBy("doc_id", "th").agg(F.first("row").alias("row")).join(kept.hint("merge"), ["doc_id", "th"], "left_semi").select("row.*")

@@ -208,6 +208,20 @@ def test_bucket_of_several_groups_is_closed(spark, monkeypatch):
         assert got == want and len({c for _, c in want.values()}) < len(texts)
 
 
+def test_dense_group_without_its_base(spark):
+    """Texts made from one absent text, many of their pairs just below the likeness and some above."""
+    rng = random.Random(5)
+    base, texts = [f"b{i}" for i in range(150)], []
+    for i in range(350):
+        own = list(base)
+        for _ in range(rng.randint(2, 5)):
+            own[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        texts.append((i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(frame(spark, texts)).collect()}
+    want = brute_groups(texts, 5, 80)
+    assert got == want and 10 < len({c for _, c in want.values()}) < 340
+
+
 def test_bitmaps_never_drop_a_pair_that_passes():
     rng = np.random.default_rng(4)
     for n in (1, 2, 9, 16, 17, 100, 129, 1000, 20000):
@@ -225,8 +239,9 @@ def test_bitmaps_never_drop_a_pair_that_passes():
 
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 300), (300, 400), (400, 200)]
+    node = lambda x: int(words.mix(np.array([x], np.uint64)).view(np.int64)[0])
+    links = [(node(a), node(b)) for a, b in links]
     labels = {r.node: r.label for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
-    node = lambda x: spark.range(1).select(minhash._scattered(F.lit(x).cast("long"))).first()[0]
     assert len({labels[node(x)] for x in [*range(41), 100]}) == 1 and len({labels[node(x)] for x in (200, 300, 400)}) == 1 and len(set(labels.values())) == 2
 
 
@@ -252,6 +267,34 @@ def test_near_dedup_keeps_unrelated_rows_of_one_id(spark):
     texts += [(6, " ".join(f"w{i}" for i in range(60))), (4, " ".join(f"w{i}" for i in range(61))), (4, "the first of id four")]
     kept = [(r.doc_id, r.text) for r in minhash.near_dedup(frame(spark, texts)).collect()]
     assert sorted(kept, key=repr) == sorted([*texts[:4], texts[5]], key=repr)
+    groups = collections.Counter((r.doc_id, r.component_id, r.n_shingles) for r in minhash.near_groups(frame(spark, texts)).collect())
+    assert groups == {(None, None, 2): 2, (4, 4, 1): 2, (4, 4, 4): 1, (6, 4, 56): 1, (4, 4, 57): 1}
+
+
+CLASHES = "_salt _mask _set _first _least _row _n _c _all _l label uid th class first_uid digest _digest _keep keep_id _size _bucket _words _share _s _b _whole _copies _part _turn _before target source_size _target row rows bands size".split()
+
+
+def clashing(spark):
+    docs = frame(spark, [(5, "a b c"), (3, "a b c"), (7, None), (8, ""), (9, LONG), (9, LONG), (None, "only null id"), (11, "ß é x y z")])
+    return docs.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHES])
+
+
+@pytest.mark.parametrize("stage", [minhash.near_dedup, exact_dedup.dedup, mixing.mix, mixing.mix_whole], ids=lambda f: f.__name__)
+def test_columns_that_clash_come_through(spark, stage):
+    docs = clashing(spark)
+    out = stage(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert rows and all(r[c] == c + ("-" if r.doc_id is None else str(r.doc_id)) for r in rows for c in CLASHES)
+
+
+def test_columns_that_clash_are_no_input(spark):
+    docs = clashing(spark)
+    assert minhash.near_groups(docs).count() == exact_dedup.decide(docs).count() == mixing.assign(docs).count() == 8
+    assert toxicity.ToxicityModel(None).apply(docs).count() == lm_score.score(docs).count() == fingerprint.fingerprint_edits(docs).count() == 8
+    pages = docs.withColumnsRenamed({"doc_id": "page_id", "text": "html", "source": "url"}).drop("row")
+    pages = pages.selectExpr("*", "1 AS archive", "2 AS frame", "3 AS payload", "4 AS refers_to", "5 AS record_type")
+    assert warc.round_trip(pages).count() == 8 and packing.pack(docs).select("doc_id").distinct().count() == 7
 
 
 # ---- 7 packing -----------------------------------------------------------------------------------------------
