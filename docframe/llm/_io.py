@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,10 +15,13 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a temporary one where it is unset."""
+    """The folder in spark.checkpoint.dir, which driver and executors share; a temporary one where it is unset and
+    all run in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="docframe-"))
         atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)

@@ -5,44 +5,84 @@ A batch of rows is first reduced to its distinct digests (partial aggregation, s
 number of times costs one row per task), the new digests come from a sort-merge anti-join against the
 index, which needs no exchange of the index, and are appended.
 
+An index folder holds data of one generation and a small table of generations with their bucket counts. The row of
+a generation is written after its data, so a run that fails between leaves the generation before it in force. The
+bucket count is fixed when an index is made; another one asked for later is refused, and what the session's shuffle
+partitions are plays no part. compact() writes a new generation with one file a bucket.
+
 Defined results: null text counts as empty; the row with the largest doc_id of equal texts stays, a null
 doc_id counts as smaller than any; rows that repeat both doc_id and text are the same document (decide()
-marks each of them kept, dedup() returns one); an empty table gives an empty result; other columns play
-no part.
+marks each of them kept, dedup() returns one, and which one's other columns is not defined); an empty table gives
+an empty result; other columns, whatever their names, play no part and come through.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docframe.llm._io import attach, cut, fresh_path
 
+NULL_ID = -(1 << 63)
+SCHEMA = "digest BINARY, keep_id BIGINT, seen BIGINT"
+
+
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, digest (32 bytes), one row per row of docs."""
-    raw = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("digest"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest_of(F.col("text")).alias("digest"))
 
 
 class DigestIndex:
-    """A digest table that outlives a run: open(path) finds it again, add() deduplicates new rows against it."""
+    """A digest table that outlives a run: DigestIndex(spark, path) makes it or finds it again, add() deduplicates
+    new rows against it. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
-        self.spark, self.buckets = spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.path = path or fresh_path(spark, "digest-index")
+        self.spark, self.path = spark, path or fresh_path(spark, "digest-index")
+        last = self._last() if path else None
+        if last and buckets not in (None, last["buckets"]):
+            raise ValueError(f"the index at {self.path} has {last['buckets']} buckets, not {buckets}")
+        self.buckets = last["buckets"] if last else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.generation = last["generation"] if last else 0
+        if not last:
+            self._begin(0)
+        self._name()
+
+    def _last(self) -> dict | None:
+        """The generation in force."""
+        try:
+            rows = self.spark.read.schema("generation INT, buckets INT").parquet(f"{self.path}/generations").collect()  # a row for each compaction
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return max((r.asDict() for r in rows), key=lambda r: r["generation"], default=None)
+
+    def _begin(self, generation: int) -> None:
+        row = self.spark.createDataFrame([(generation, self.buckets)], "generation INT, buckets INT")
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
+        self.generation = generation
+
+    def _name(self) -> None:
         self.name = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, seen BIGINT) USING parquet "
-            f"OPTIONS (path '{self.path}') CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
-        )
+        self.spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet OPTIONS (path '{self.folder()}') CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS")
+
+    def folder(self) -> str:
+        return f"{self.path}/data-{self.generation}"
 
     def known(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def rows(self) -> DataFrame:
+        """The index as plain files: for joins that its buckets are of no use to, and after close()."""
+        return self.spark.read.schema(SCHEMA).parquet(self.folder())
+
     def fresh(self, docs: DataFrame) -> DataFrame:
         """The digests of docs that the index has not, each with its keep_id and count."""
         found = digests(docs).groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("seen"))
@@ -51,11 +91,22 @@ class DigestIndex:
         found = cut(found, "batch-digests").repartition(self.buckets, "digest")
         return found.join(self.known().select("digest").hint("merge"), "digest", "left_anti")
 
+    def _append(self, rows: DataFrame) -> None:
+        rows.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.folder()).saveAsTable(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
     def add(self, docs: DataFrame) -> None:
         """Append what is new. The index is written once per batch; texts already known keep their row."""
-        new = self.fresh(docs).select("digest", "keep_id", "seen")
-        new.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name)
-        self.spark.catalog.refreshTable(self.name)
+        self._append(self.fresh(docs).select("digest", "keep_id", "seen"))
+
+    def compact(self) -> None:
+        """One file a bucket again, after many batches. The generation before it stays until it is removed by hand."""
+        rows = self.rows().repartition(self.buckets, "digest")  # of the bucketed table the exchange would be left out, then the buckets too
+        self.close()
+        self.generation += 1
+        self._name()
+        self._append(rows)
+        self._begin(self.generation)
 
     def close(self) -> None:
         """Forget the table's name; its files stay at path."""
@@ -69,26 +120,26 @@ def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     back in 64 places for each digest. The index holds rows of earlier batches too: a text known before keeps
     the id it had then, and none of docs' copies stays.
     """
-    index = index or DigestIndex(docs.sparkSession)
-    index.add(docs)
-    known = index.known().select("digest", "keep_id", F.col("seen").alias("group_size"))
+    known = _added(docs, index).select("digest", "keep_id", F.col("seen").alias("group_size"))
     out = attach(digests(docs), "digest", known, F.col("doc_id"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
+def _added(docs: DataFrame, index: DigestIndex | None) -> DataFrame:
+    own = index or DigestIndex(docs.sparkSession)
+    own.add(docs)
+    if index is None:
+        own.close()
+    return own.rows()
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: of equal texts the one with the largest doc_id, all columns as they are.
 
-    Rows that repeat doc_id and text fall to one. Only (doc_id, digest) is grouped; the texts then meet the
-    list of kept pairs once.
+    Rows that repeat doc_id and text fall to one before they move; the texts then meet the list of kept pairs once.
     """
-    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    marked = docs.withColumn("_digest", digest)
-    index = DigestIndex(docs.sparkSession)
-    index.add(docs)
-    keep = index.known().select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
-    salted = marked.withColumn("_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    wanted = keep.withColumn("_row", F.coalesce(F.col("_keep"), F.lit(-(1 << 63)))).drop("_keep")
-    met = salted.join(wanted, ["_digest", "_row"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("_digest", "_row").orderBy(F.lit(1)))
-    return met.withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    own = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NULL_ID))
+    keep = _added(docs, None).select("digest", own("keep_id").alias("id"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = whole.select(digest_of(F.col("row.text")).alias("digest"), own("row.doc_id").alias("id"), "row")
+    return named.groupBy("digest", "id").agg(F.first("row").alias("row")).join(keep.hint("merge"), ["digest", "id"], "left_semi").select("row.*")

@@ -49,9 +49,15 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epo
     return levelled.select("source", "source_size", target.alias("target"))
 
 
-def assign(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 3, seed: int = 8) -> DataFrame:
-    """docs with _size, _source_size, _target, _copies (whole repetitions) and _part (words of one more)."""
-    rows = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_bucket", bucket_of(F.col("doc_id"), seed))
+#: What assign() adds; columns of docs with these names are left out of its result.
+OWN = ("_size", "_source_size", "_target", "_copies", "_part")
+
+
+def _assigned(docs: DataFrame, weights: tuple[float, ...], epochs: float, seed: int) -> DataFrame:
+    """row (all columns of docs in one), doc_id, source and OWN. Whatever docs' other columns are called, they stay
+    inside row."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = whole.select("row", "row.doc_id", "row.source", word_count(F.col("row.text")).alias("_size"), bucket_of(F.col("row.doc_id"), seed).alias("_bucket"))
     bins = rows.groupBy("source", "_bucket").agg(F.sum("_size").alias("_words"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, epochs)
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
@@ -65,11 +71,17 @@ def assign(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: floa
     full = F.col("_share") >= 1
     part = F.when(full, F.lit(0)).otherwise(F.floor(F.col("_size") * F.col("_share") + 0.5)).cast("long")
     return met.select(
-        *docs.columns, "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+        "row", "doc_id", "source", "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
         (F.col("_whole") + full.cast("long")).alias("_copies"), part.alias("_part"),
     )
 
 
+def assign(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 3, seed: int = 8) -> DataFrame:
+    """docs with _size, _source_size, _target, _copies (whole repetitions) and _part (words of one more)."""
+    mine = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in OWN]
+    return _assigned(docs, weights, epochs, seed).select(*mine, *OWN)
+
+
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word, white space between kept."""
     pieces = F.split(text, f"(?<=[^{SPACE}])(?=[{SPACE}])", -1)
@@ -79,25 +91,25 @@ def first_words(text: Column, n: Column) -> Column:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 3, seed: int = 8) -> DataFrame:
     """The mixed corpus with docs' columns: whole repetitions as repeated rows, a fractional one as a row whose
     text is cut to its words. Documents without words are in no repetition."""
-    rows = assign(docs, weights, epochs, seed).where("_size > 0 AND _copies + _part > 0")
+    rows = _assigned(docs, weights, epochs, seed).where("_size > 0 AND _copies + _part > 0")
     times = F.sequence(F.lit(0), F.col("_copies") + (F.col("_part") > 0).cast("long") - 1)
     dealt = rows.withColumn("_turn", F.explode(times))
-    cut = (F.col("_turn") == F.col("_copies")) & (F.col("_part") > 0)
-    text = F.when(cut, first_words(F.col("text"), F.col("_part"))).otherwise(F.col("text"))
-    changed = dealt.withColumn("text", text)
+    last = (F.col("_turn") == F.col("_copies")) & (F.col("_part") > 0)
+    text = F.when(last, first_words(F.col("row.text"), F.col("_part"))).otherwise(F.col("row.text"))
+    changed = dealt.withColumn("row", F.col("row").withField("text", text))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+        changed = changed.withColumn("row", F.col("row").withField("n_chars", F.when(last, F.length("row.text").cast("long")).otherwise(F.col("row.n_chars"))))
+    return changed.select("row.*")
 
 
 def mix_whole(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 3, seed: int = 8) -> DataFrame:
     """The mixed corpus in whole documents: as mix, but the words of the bucket at the edge are given by whole
     documents in seeded order, the last one where half of it or more is asked for."""
-    rows = written(assign(docs, weights, epochs, seed).where("_size > 0 AND _copies + _part > 0"), "mixed")
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), F.xxhash64("text")
+    rows = written(_assigned(docs, weights, epochs, seed).where("_size > 0 AND _copies + _part > 0"), "mixed")
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), F.xxhash64("row.text")
     source = Window.partitionBy("source")
     edge = rows.where("_part > 0").withColumn("_before", F.coalesce(F.sum("_size").over(source.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     more = (2 * F.col("_before") + F.col("_size") <= 2 * F.sum("_part").over(source)).cast("long")
     edge = edge.withColumn("_copies", F.col("_copies") + more).drop("_before")
     dealt = rows.where("_part = 0").unionByName(edge).where("_copies > 0")
-    return dealt.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return dealt.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

@@ -116,6 +116,45 @@ def test_index_outlives_a_run(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_index_reopened_with_other_partitions(spark, tmp_path):
+    """The bucket count is the index's own, whatever the session's shuffle partitions are; another one is refused."""
+    texts, before = frame(spark, [(i, f"text {i}") for i in range(200)]), spark.conf.get("spark.sql.shuffle.partitions")
+    path = f"file://{tmp_path}/index"
+    exact_dedup.DigestIndex(spark, path, buckets=8).add(texts)
+    try:
+        for partitions in (3, 8, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            index = exact_dedup.DigestIndex(spark, path)
+            assert index.buckets == 8 and index.fresh(texts).count() == 0
+            assert [r.keep_id for r in index.fresh(texts.union(frame(spark, [(900, "new")]))).collect()] == [900]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact_dedup.DigestIndex(spark, path, buckets=16)
+
+
+def test_index_compacted(spark, tmp_path):
+    path = f"file://{tmp_path}/index"
+    index = exact_dedup.DigestIndex(spark, path, buckets=2)
+    for k in range(4):
+        index.add(frame(spark, [(10 * k + i, f"t{(10 * k + i) % 25}") for i in range(10)]))
+    rows = sorted(map(str, index.rows().collect()))
+    index.compact()
+    index.close()
+    again = exact_dedup.DigestIndex(spark, path)
+    assert again.generation == 1 and sorted(map(str, again.rows().collect())) == rows and len(rows) == 25
+    assert again.fresh(frame(spark, [(1, "t3"), (2, "t99")])).count() == 1 and len(list((tmp_path / "index/data-1").glob("part-*"))) <= 2
+    again.add(frame(spark, [(1, "t3"), (2, "t99")]))
+    assert exact_dedup.DigestIndex(spark, path).rows().count() == 26
+
+
+def test_leftovers_of_a_failed_compaction_do_not_count(spark, tmp_path):
+    path = f"file://{tmp_path}/index"
+    exact_dedup.DigestIndex(spark, path, buckets=2).add(frame(spark, [(1, "a")]))
+    spark.range(3).selectExpr("unhex('00') digest", "id keep_id", "id seen").write.parquet(f"{path}/data-1")
+    assert [r.keep_id for r in exact_dedup.DigestIndex(spark, path).rows().collect()] == [1]
+
+
 # ---- 5 language model ----------------------------------------------------------------------------------------
 
 
