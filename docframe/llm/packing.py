@@ -2,14 +2,17 @@
 
 A document is tokenized once and ends with token 1. Whole windows of its tokens are sequences of their own;
 what remains has one of 2,047 lengths, and all planning is done on the histogram of those lengths, whose
-size is fixed. Combinations of one to four lengths that fill a window exactly are enumerated, their repeat
-counts solved as a non-negative least-squares fit to the histogram and rounded down; what is left is packed
-greedily, longest first, as one stream cut at window ends, so that only the last sequence is padded.
-
-A remainder's place follows from its rank among those of its length. Ranks are counted within 32 digest
-groups of each length and offset by the groups' counts (at most 65,536 numbers), so a length that a third of
-all documents share is ranked in 32 places. Defined results: null and empty texts have the one token 1; every
-row is packed, repeated rows each on their own; an empty table gives an empty result.
+size is fixed. All pairs and triples of lengths that fill a window exactly are enumerated, and for each length the
+quadruple that splits what it leaves evenly; their repeat counts are solved as a non-negative least-squares fit to
+the histogram and rounded, the largest first, to what the histogram still holds. What is left is packed greedily,
+longest first, as one stream cut at window ends, so that only the last sequence is padded.
+
+A remainder's place follows from its rank among those of its length: its rank in its own part of the input, which
+the task that tokenizes that part counts, plus the parts before it, from a table of (part, length) counts. So no
+length, however many documents share it, is ranked in one place, and no token bytes are sorted. The driver holds the
+histogram (window numbers) and the plan (at most PLAN combinations and those that share a length with them).
+Defined results: null and empty texts have the one token 1; every row is packed, repeated rows each on their own;
+an empty table gives an empty result. A task holds the tokens of a few megabytes of text, or of one longer text.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql.window import Window
 from docframe.llm._io import cut
 from docframe.llm._words import slices
 
-SALTS, END = 32, 1
+END, PLAN = 1, 1 << 16
 SPECIAL = "<|endoftext|>"
 
 
@@ -55,86 +58,112 @@ def encode(text: str, vocabulary: str | None = None) -> list[int]:
     return encoding.encode(text, allowed_special="all") if SPECIAL in text else encoding.encode_ordinary(text)
 
 
-def tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """uid (unique), doc_id, n_tokens and the little-endian unsigned 32-bit ids of every row, packed to 16 bits
-    where all fit (wide tells)."""
+def tokens(docs: DataFrame, window: int, vocabulary: str | None = None) -> DataFrame:
+    """part (of the input), doc_id, n_tokens, rest and whole (n_tokens as a remainder and whole windows), rank and
+    whole_rank (rows and their whole windows before this one of its part and rest), and the little-endian unsigned
+    32-bit ids, packed to 16 bits where all fit (wide tells)."""
 
     def run(batches):
         context = TaskContext.get()
-        uid = (context.partitionId() if context else 0) << 33
+        part = context.partitionId() if context else 0
+        seen, wholes = np.zeros(window, np.int64), np.zeros(window, np.int64)
         for batch in slices(batches):
-            out, count, wide = [], [], []
+            out, count, wide, rank, whole_rank = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = np.array([*encode(text or "", vocabulary), END], "<u4")
                 big = bool(ids.max() > 0xFFFF)
+                whole, rest = divmod(len(ids), window)
                 out.append((ids if big else ids.astype("<u2")).tobytes())
                 count.append(len(ids))
                 wide.append(big)
-            uids = pa.array(range(uid, uid + len(out)), pa.int64())
-            uid += len(out)
-            yield pa.RecordBatch.from_arrays(
-                [uids, batch.column(0), pa.array(count, pa.int64()), pa.array(wide), pa.array(out, pa.binary())], ["uid", "doc_id", "n_tokens", "wide", "ids"]
-            )
+                rank.append(int(seen[rest]))
+                whole_rank.append(int(wholes[rest]))
+                seen[rest] += 1
+                wholes[rest] += whole
+            n = np.array(count, np.int64)
+            columns = [pa.array(x, pa.int64()) for x in (np.full(len(n), part), batch.column(0), n, n % window, n // window, rank, whole_rank)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(wide), pa.array(out, pa.binary())], [x.split()[0] for x in TOKENS.split(", ")])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "uid long, doc_id long, n_tokens long, wide boolean, ids binary")
-
-
-def combinations(window: int) -> list[tuple[int, ...]]:
-    """Pairs that fill the window; and for each length, the triple and the quadruple that split what it leaves
-    evenly. Longest parts first."""
-    found = {(window - a, a) for a in range(1, window // 2 + 1)}
-    for first in range(1, window - 1):
-        for parts in (2, 3):
-            rest = window - first
-            if rest >= parts:
-                even = [rest // parts + (i < rest % parts) for i in range(parts)]
-                found.add(tuple(sorted([first, *even], reverse=True)))
-    return sorted(found, reverse=True)
-
-
-def fit(histogram: np.ndarray, combos: list[tuple[int, ...]], sweeps: int = 40) -> np.ndarray:
-    """x >= 0 that brings sum(x[c] * combo c) near the histogram in least squares, by coordinate descent."""
-    x, left = np.zeros(len(combos)), histogram.astype(float).copy()
-    columns = []
-    for combo in combos:
-        lengths, times = np.unique(combo, return_counts=True)
-        columns.append((lengths.tolist(), times.tolist(), float((times**2).sum())))
-    for _ in range(sweeps):
-        moved = 0.0
-        for c, (lengths, times, norm) in enumerate(columns):
-            step = sum(left[n] * t for n, t in zip(lengths, times, strict=True)) / norm
-            step = max(step, -x[c])
-            if abs(step) > 1e-3:
-                x[c] += step
-                moved = max(moved, abs(step))
-                for n, t in zip(lengths, times, strict=True):
-                    left[n] -= step * t
-        if moved < 0.5:
-            break
+    return narrow.mapInArrow(run, TOKENS)
+
+
+TOKENS = "part long, doc_id long, n_tokens long, rest long, whole long, rank long, whole_rank long, wide boolean, ids binary"
+
+
+def combinations(window: int) -> np.ndarray:
+    """Rows of four lengths, longest first, that fill the window (0: none): all pairs and triples, and for each
+    length the quadruple that splits what it leaves evenly."""
+    low = np.arange(1, window // 2 + 1)
+    found = [np.stack([window - low, low, 0 * low, 0 * low], 1)]
+    for third in range(1, window // 3 + 1):
+        second = np.arange(third, (window - third) // 2 + 1)
+        found.append(np.stack([window - third - second, second, np.full(len(second), third), 0 * second], 1))
+    first = np.arange(1, window - 2)
+    even = np.stack([first, *[(window - first) // 3 + ((window - first) % 3 > i) for i in range(3)]], 1)
+    found.append(-np.sort(-even, axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def fit(histogram: np.ndarray, combos: np.ndarray, steps: int = 200) -> np.ndarray:
+    """x >= 0 that brings sum(x[c] * combo c) near the histogram in least squares, by multiplicative steps, which keep
+    every x non-negative."""
+    goal = histogram.astype(float)
+    goal[0] = 0
+
+    def covered(x: np.ndarray) -> np.ndarray:
+        out = sum(np.bincount(combos[:, k], x, minlength=len(goal)) for k in range(combos.shape[1]))
+        out[0] = 0
+        return out
+
+    x = np.full(len(combos), goal.sum() / max(3 * len(combos), 1))
+    pull = goal[combos].sum(1)
+    for _ in range(steps):
+        x *= pull / np.maximum(covered(x)[combos].sum(1), 1e-12)
     return x
 
 
+def _for_each_length(combos: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
+    """Which combos are among the `most` of largest x that hold some length."""
+    place = np.empty(len(x), np.int64)
+    place[np.argsort(-x, kind="stable")] = np.arange(len(x))
+    length, which = combos.T.reshape(-1), np.tile(np.arange(len(x)), combos.shape[1])
+    order = np.lexsort((place[which], length))
+    length, which = length[order], which[order]
+    rank = np.arange(len(length)) - np.searchsorted(length, length)
+    out = np.zeros(len(x), bool)
+    out[which[(rank < most) & (length > 0)]] = True
+    return out
+
+
 class Plan:
     """Where the k-th remainder of each length goes. Size: bounded by the number of combinations."""
 
-    def __init__(self, histogram: np.ndarray, window: int, first_sequence: int):
-        combos = [c for c in combinations(window) if all(histogram[n] for n in c)]
-        repeats = np.floor(fit(histogram, combos)).astype(np.int64)
+    def __init__(self, histogram: np.ndarray, window: int, first_sequence: int, most: int = PLAN):
+        combos = combinations(window)
+        combos = combos[((histogram[combos] > 0) | (combos == 0)).all(1)]
+        if len(combos) > most:
+            combos = combos[_for_each_length(combos, fit(histogram, combos, 60), max(1, 3 * most // (2 * window)))]
+        repeats = fit(histogram, combos)
         used = np.zeros(window, np.int64)
         slots: dict[int, list[tuple[int, int, int]]] = {}
         sequence = first_sequence
-        for combo, want in zip(combos, repeats.tolist(), strict=True):
-            lengths, times = np.unique(combo, return_counts=True)
-            n = min(want, *(int((histogram[a] - used[a]) // t) for a, t in zip(lengths, times, strict=True)))
-            if n <= 0:
-                continue
-            offset = 0
-            for length in combo:
-                slots.setdefault(length, []).append((int(used[length]), sequence, offset))
-                used[length] += n
-                offset += length
-            sequence += n
+        order = np.argsort(-repeats, kind="stable")
+        # First what the fit says, at least once each; then what the histogram still holds.
+        for want in (np.maximum(1, np.floor(repeats)).astype(np.int64), None):
+            left = histogram - used
+            for c in order[((left[combos[order]] > 0) | (combos[order] == 0)).all(1)]:
+                lengths, times = np.unique(combos[c][combos[c] > 0], return_counts=True)
+                n = int(((histogram[lengths] - used[lengths]) // times).min())
+                n = n if want is None else min(n, int(want[c]))
+                if n <= 0:
+                    continue
+                offset = 0
+                for length in combos[c][combos[c] > 0].tolist():
+                    slots.setdefault(length, []).append((int(used[length]), sequence, offset))
+                    used[length] += n
+                    offset += length
+                sequence += n
         self.window, self.used, self.stream = window, used, sequence
         self.slots = {n: tuple(np.array(v, np.int64) for v in zip(*s, strict=True)) for n, s in slots.items()}
         rest = (histogram - used) * np.arange(window)
@@ -156,34 +185,29 @@ class Plan:
 def pack(docs: DataFrame, window: int = 2048, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     vocabulary = vocabulary or default_vocabulary()
-    kept = cut(tokens(docs, vocabulary), "tokens")
-    rest, whole = (F.col("n_tokens") % window).cast("int"), F.floor(F.col("n_tokens") / window).cast("long")
-    rows = kept.withColumn("rest", rest).withColumn("whole", whole).withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
-    counts = np.zeros((window, SALTS), np.int64)
-    wholes = np.zeros((window, SALTS), np.int64)
-    for r in rows.groupBy("rest", "salt").agg(F.count("*").alias("n"), F.sum("whole").alias("w")).collect():  # window x SALTS rows at most
-        counts[r.rest, r.salt], wholes[r.rest, r.salt] = r.n, r.w
-    before = np.cumsum(counts, axis=1) - counts
-    whole_before = (np.cumsum(wholes) - wholes.reshape(-1)).reshape(wholes.shape)
-    histogram = counts.sum(1)
+    rows = cut(tokens(docs, window, vocabulary), "tokens")
+    counts = cut(rows.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum("whole").alias("w")), "length-counts")
+    histogram, wholes = np.zeros(window, np.int64), np.zeros(window, np.int64)
+    for r in counts.groupBy("rest").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect():  # window rows at most
+        histogram[r.rest], wholes[r.rest] = r.n, r.w
+    whole_before = np.cumsum(wholes) - wholes
     histogram[0] = 0
     plan = Plan(histogram, window, int(wholes.sum()))
-    group = Window.partitionBy("rest", "salt").orderBy("uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select(
-        "doc_id", "n_tokens", "wide", "ids", "rest", "salt", "whole",
-        (F.row_number().over(Window.partitionBy("rest", "salt").orderBy("uid")) - 1).cast("long").alias("rank"), (F.sum("whole").over(group) - F.col("whole")).alias("whole_rank"),
-    )
+    before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", "rest", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("w").over(before), F.lit(0)).alias("_w"))
+    ranked = rows.join(offsets.hint("shuffle_hash"), ["part", "rest"]).select(
+        "doc_id", "n_tokens", "wide", "ids", "rest", "whole", (F.col("rank") + F.col("_n")).alias("rank"), (F.col("whole_rank") + F.col("_w")).alias("whole_rank")
+    )
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                doc, n, wide, raw, rest, salt, whole, rank, whole_rank = r
+            for doc, n, wide, raw, rest, whole, rank, whole_rank in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = np.frombuffer(raw, "<u4" if wide else "<u2").astype("<u4").tobytes()
-                first = int(whole_before[rest, salt]) + whole_rank
+                first = int(whole_before[rest]) + whole_rank
                 pieces = [(window, first + i, 0) for i in range(whole)]
                 if rest:
-                    pieces += plan.place(rest, int(before[rest, salt]) + rank)
+                    pieces += plan.place(rest, rank)
                 start = 0
                 for length, sequence, offset in pieces:
                     out.append((doc, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n, sequence, offset))

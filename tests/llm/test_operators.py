@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -372,13 +373,40 @@ def test_packing(spark):
 
 def test_fit_reaches_a_known_mixture():
     combos = packing.combinations(16)
-    assert all(sum(c) == 16 and len(c) <= 4 for c in combos)
+    assert combos.shape[1] == 4 and (combos.sum(1) == 16).all() and len(np.unique(combos, axis=0)) == len(combos)
+    assert {tuple(c[:3]) for c in combos if c[2] and not c[3]} == {(16 - b - c, b, c) for b in range(1, 16) for c in range(1, b + 1) if 16 - b - c >= b}
     histogram = np.zeros(16, int)
     for n, k in ((10, 50), (6, 50), (8, 40)):
         histogram[n] += k
-    x = packing.fit(histogram, combos)
-    covered = sum(np.bincount(c, minlength=16) * n for c, n in zip(combos, x, strict=True))
-    assert np.abs(covered - histogram).max() < 1
+    kept = combos[((histogram[combos] > 0) | (combos == 0)).all(1)]
+    x = packing.fit(histogram, kept)
+    covered = sum(np.bincount(c, minlength=16) * n for c, n in zip(kept, x, strict=True))
+    assert np.abs(covered - histogram)[1:].max() < 1 and (x >= 0).all()
+
+
+@pytest.mark.parametrize(("most", "share"), [(1 << 16, 0.9), (4000, 0.6)])
+def test_share_that_the_fit_places(most, share):
+    rng = np.random.default_rng(5)
+    for size in (10_000, 10_000_000):
+        histogram = np.bincount(rng.lognormal(7, 0.9, 10_000).astype(int) % 2048, minlength=2048) * (size // 10_000)
+        histogram[0] = 0
+        plan = packing.Plan(histogram, 2048, 0, most)
+        assert plan.used.sum() > share * histogram.sum() and (plan.used <= histogram).all()
+        places = [piece[1:] for n in range(1, 2048) for r in range(min(3, int(histogram[n]))) for piece in plan.place(n, r)]
+        assert len(set(places)) == len(places)
+
+
+def test_ids_are_those_of_the_json_form():
+    """Every text of sf0.01 and texts of random characters, against the tokenizers library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [t or "" for t in pa.parquet.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    rng = random.Random(12)
+    kinds = [(32, 127), (9, 14), (0xA0, 0x250), (0x300, 0x370), (0x600, 0x700), (0x2000, 0x2070), (0x3040, 0x30FF), (0x4E00, 0x9FFF), (0x1F300, 0x1F6FF)]
+    texts += ["".join(chr(rng.randrange(*rng.choice(kinds))) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    assert [packing.encode(t) for t in texts] == [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
 
 
 # ---- 8 mixing ------------------------------------------------------------------------------------------------
