@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
 import uuid
 from urllib.parse import quote
@@ -124,6 +125,12 @@ class BundleReader:
         return self.frame(frame)[offset : offset + length]
 
 
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder. Archives are written by Python, which knows file, hdfs, s3, gs and abfss
+    addresses (s3a and s3n as s3); for any other kind this raises, on the driver, before a page is read."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
+
+
 def classify(pages: DataFrame, least: int = 100) -> DataFrame:
     """page_id, url, payload, digest, refers_to (null: a response) of every row."""
     rows = pages.select(
@@ -139,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str, frame_bytes: int = 1 << 18, ar
     """Write every page into archives under folder; returns the manifest, itself a written table."""
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         context = TaskContext.get()
         own = f"{context.partitionId():06d}-{context.taskAttemptId()}" if context else "0-0"
         store.create_dir(root, recursive=True)
@@ -161,6 +168,7 @@ def write_archives(pages: DataFrame, folder: str, frame_bytes: int = 1 << 18, ar
         if writer is not None:
             writer.close()
 
+    store_of(folder)
     schema = "page_id long, archive string, frame int, offset long, length long"
     return cut(classify(pages).mapInArrow(run, schema), "warc-manifest")
 
@@ -171,7 +179,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     payload that was read and must agree with its headers."""
 
     def run(batches):
-        store, _ = fs.FileSystem.from_uri(folder)
+        store, _ = store_of(folder)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 with store.open_input_file(name) as stream:
@@ -192,8 +200,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], NAMES)
 
-    archives = manifest.groupBy("archive").agg(F.count("*").alias("records")).select("archive")
-    return archives.repartition("archive").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload string")
+    archives = manifest.select("archive").distinct()
+    # A stated number of partitions, one archive each: adaptive execution would merge them by the bytes of their names.
+    return archives.repartition(max(1, archives.count())).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload string")
 
 
 NAMES = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
