@@ -1,15 +1,16 @@
 """Document fingerprints by a homomorphic multiset hash (operator 3, native).
 
 A paragraph (a line of the text) is hashed to a wide vector: 8 lanes of 32 bits from four seeded 64-bit
-hashes of the paragraph, and 64 lanes that count the set bits of the hashes of its three-word shingles (the
-whole paragraph where it has fewer words). A document's fingerprint is the sum of its paragraphs' vectors,
-lane by lane modulo 2**32. Sums commute, so paragraph order plays no part, and a paragraph is inserted or
-deleted by adding or subtracting its vector (insert_paragraph, delete_paragraph). The counting lanes, centred,
-are random signs summed over the shingles, so their mean product estimates the inner product of two
-documents' shingle multisets; likeness is that product x over (a + b - x), clipped to 0..1.
-
-Defined results: null text is empty; the empty text has one empty paragraph; equal texts have equal
-fingerprints; rows that repeat both doc_id and text count as one document in the order of next documents and
+hashes of the paragraph, and 64 lanes that count the set bits of the hashes of its three-word shingles (all its
+words where it has fewer; a blank paragraph has none). A document's fingerprint is the sum of its paragraphs'
+vectors, lane by lane modulo 2**32, and its number of shingles. Sums commute, so paragraph order plays no part, and
+paragraphs are inserted or deleted by adding or subtracting their vectors (insert, delete). The counting lanes,
+centred, are random signs summed over the shingles, so their mean product estimates the inner product of two
+documents' shingle multisets; likeness is that product x over (a + b - x), clipped to 0..1. A fingerprint's text
+holds all lanes in full (lanes reads it back), so likeness follows from two fingerprints alone.
+
+Defined results: null text is empty; the empty text has one empty paragraph; texts without words are alike (1) and
+unlike any other (0); equal texts have equal fingerprints; rows that repeat both doc_id and text count as one document in the order of next documents and
 are each returned; rows with one doc_id and several texts follow each other by text hash; a table's only
 document is its own next.
 """
@@ -36,15 +37,16 @@ def _sums() -> list[Column]:
     for i in range(len(SEEDS)):
         h = F.col(f"_p{i}")
         for j, half in enumerate((h.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(h, 32))):
-            exact.append(F.sum(F.when(F.col("_pos") == 0, half).otherwise(F.lit(0))).alias(f"exact{2 * i + j}"))
-    counts = [F.sum(F.shiftrightunsigned("_unit", i).bitwiseAND(F.lit(_BITS))).alias(f"count{i}") for i in range(PAIRS)]
+            exact.append(F.sum(F.when(F.coalesce("_pos", F.lit(0)) == 0, half).otherwise(F.lit(0))).alias(f"exact{2 * i + j}"))
+    counts = [F.coalesce(F.sum(F.shiftrightunsigned("_unit", i).bitwiseAND(F.lit(_BITS))), F.lit(0)).alias(f"count{i}") for i in range(PAIRS)]
     return [*exact, *counts, F.sum((F.col("_unit").isNotNull()).cast("long")).alias("units")]
 
 
 def shingle_hashes(paragraph: Column) -> Column:
     def slide(found: Column) -> Column:
         places = F.sequence(F.lit(0), F.greatest(F.size(found) - SHINGLE, F.lit(0)))
-        return F.transform(places, lambda i: F.xxhash64(*[F.get(found, i + k) for k in range(SHINGLE)]))
+        units = F.transform(places, lambda i: F.xxhash64(*[F.get(found, i + k) for k in range(SHINGLE)]))
+        return F.when(F.size(found) > 0, units)
 
     # Inside the inner lambda the words are a bound variable; a column there would be split anew for each place.
     return F.get(F.transform(F.array(F.filter(F.split(paragraph, SPACES), lambda w: w != "")), slide), F.lit(0))
@@ -55,7 +57,7 @@ def vectors(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     them already, no exchange is added."""
     paragraphs = texts.select(*keys, F.explode(F.split(F.col(text), "\n")).alias("_par"))
     hashed = paragraphs.select(
-        *keys, *[F.xxhash64(F.lit(s), "_par").alias(f"_p{i}") for i, s in enumerate(SEEDS)], F.posexplode(shingle_hashes(F.col("_par"))).alias("_pos", "_unit")
+        *keys, *[F.xxhash64(F.lit(s), "_par").alias(f"_p{i}") for i, s in enumerate(SEEDS)], F.posexplode_outer(shingle_hashes(F.col("_par"))).alias("_pos", "_unit")
     )
     sums = hashed.groupBy(*keys).agg(*_sums())
     exact = F.array(*[F.col(f"exact{i}").bitwiseAND(F.lit(_LOW)) for i in range(2 * len(SEEDS))])
@@ -65,10 +67,17 @@ def vectors(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 
 
 def as_text(exact: Column, counts: Column, units: Column) -> Column:
-    """The fingerprint as text: 8 lanes of 8 hex digits, the number of shingles, 64 lanes of 4 hex digits."""
-    wide = F.array_join(F.transform(exact, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
-    narrow = F.array_join(F.transform(counts, lambda v: F.lpad(F.lower(F.hex(v.bitwiseAND(F.lit(0xFFFF)))), 4, "0")), "")
-    return F.concat_ws("-", wide, F.hex(units), narrow)
+    """The fingerprint as text: 8 lanes of 8 hex digits, the number of shingles, 64 lanes of 8 hex digits."""
+    eight = lambda lanes: F.array_join(F.transform(lanes, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
+    return F.concat_ws("-", eight(exact), F.lower(F.hex(units)), eight(counts))
+
+
+def lanes(fingerprint: Column) -> dict[str, Column]:
+    """exact, counts and units of a fingerprint's text."""
+    part = lambda i: F.get(F.split(fingerprint, "-"), F.lit(i))
+    number = lambda digits: F.conv(digits, 16, 10).cast("long")
+    many = lambda digits, n: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: number(F.substr(digits, i * 8 + 1, F.lit(8))))
+    return {"exact": many(part(0), 2 * len(SEEDS)), "counts": many(part(2), 2 * PAIRS), "units": number(part(1))}
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -76,6 +85,19 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     return F.zip_with(a, b, lambda x, y: (x + y * sign).bitwiseAND(F.lit(_LOW)))
 
 
+def insert(fingerprints: DataFrame, paragraphs: DataFrame, keys: list[str], sign: int = 1) -> DataFrame:
+    """fingerprints (keys, exact, counts, units) after the paragraphs (keys, text: one row holds one or more, a line
+    each) were added to their texts as lines. Texts without new paragraphs keep theirs; no text is read again."""
+    more = vectors(paragraphs, keys).select(*keys, *[F.col(c).alias(f"_{c}") for c in ("exact", "counts", "units")])
+    summed = [F.when(F.col("_units").isNull(), F.col(c)).otherwise(combine(F.col(c), F.col(f"_{c}"), sign)).alias(c) for c in ("exact", "counts")]
+    return fingerprints.join(more, keys, "left").select(*keys, *summed, (F.col("units") + F.coalesce("_units", F.lit(0)) * sign).alias("units"))
+
+
+def delete(fingerprints: DataFrame, paragraphs: DataFrame, keys: list[str]) -> DataFrame:
+    """fingerprints after the paragraphs were taken out of their texts."""
+    return insert(fingerprints, paragraphs, keys, -1)
+
+
 def likeness(counts_a: Column, units_a: Column, counts_b: Column, units_b: Column) -> Column:
     """Estimated Tanimoto likeness of two shingle multisets from their fingerprints, 0 to 1."""
     a = F.transform(counts_a, lambda v: (v * 2 - units_a).cast("double"))

@@ -3,12 +3,15 @@
 import collections
 import hashlib
 import random
+import re
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet  # noqa: F401
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from docframe.llm import _words as words
@@ -81,6 +84,67 @@ def test_order_plays_no_part_and_edits_are_sums(spark):
     assert more == got[1].exact and less == got[3].exact
 
 
+def brute_fingerprint(text):
+    def chain(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64(struct.pack("<i", v) if isinstance(v, int) else v.encode(), seed=seed).intdigest()
+        return seed
+
+    exact, counts, units = [0] * 8, [0] * 64, 0
+    for line in (text or "").split("\n"):
+        for i, seed in enumerate(fingerprint.SEEDS):
+            h = chain(seed, line)
+            exact[2 * i] = (exact[2 * i] + (h & 0xFFFFFFFF)) % 2**32
+            exact[2 * i + 1] = (exact[2 * i + 1] + (h >> 32)) % 2**32
+        found = re.findall(r"[^\x20\x09-\x0D]+", line)
+        for k in range(max(1, len(found) - 2) if found else 0):
+            h = chain(*found[k : k + 3])
+            units += 1
+            for i in range(32):
+                counts[i] += h >> i & 1
+                counts[i + 32] += h >> (i + 32) & 1
+    return exact, counts, units
+
+
+def brute_likeness(a, b):
+    x, y = ([2 * c - f[2] for c in f[1]] for f in (a, b))
+    dot = lambda p, q: sum(u * v for u, v in zip(p, q, strict=True))
+    both, total = dot(x, y), dot(x, x) + dot(y, y)
+    return 1.0 if total == both == 0 else min(1.0, max(0.0, both / (total - both)))
+
+
+def test_fingerprints_against_brute_force(spark):
+    rng = random.Random(21)
+    words_ = ["ein", "ß", "the", "of", "\u3000x", "a\tb", "!!"]
+    texts = {i: "\n".join(" ".join(rng.choice(words_) for _ in range(rng.randrange(9))) for _ in range(rng.randrange(1, 12))) for i in range(60)}
+    texts |= {70: None, 71: "", 72: "\n\n \n", 73: "one", 74: LONG}
+    got = {r.doc_id: r for r in fingerprint.fingerprint_edits(frame(spark, list(texts.items()))).collect()}
+    order = sorted(texts)
+    as_text = lambda f: "-".join(["".join(f"{v:08x}" for v in f[0]), f"{f[2]:x}", "".join(f"{v:08x}" for v in f[1])])
+    for i, d in enumerate(order):
+        t, nxt = texts[d] or "", texts[order[(i + 1) % len(order)]] or ""
+        edited = t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]
+        own, after, following = map(brute_fingerprint, (t, edited, nxt))
+        assert (got[d].fingerprint, got[d].edited_fingerprint) == (as_text(own), as_text(after))
+        assert got[d].near_edited == pytest.approx(brute_likeness(own, after)) and got[d].near_next == pytest.approx(brute_likeness(own, following))
+    both = spark.createDataFrame([(got[1].fingerprint, got[1].edited_fingerprint)], "a string, b string")
+    a, b = fingerprint.lanes(F.col("a")), fingerprint.lanes(F.col("b"))
+    assert both.select(fingerprint.likeness(a["counts"], a["units"], b["counts"], b["units"])).first()[0] == got[1].near_edited
+    assert both.select(fingerprint.as_text(a["exact"], a["counts"], a["units"])).first()[0] == got[1].fingerprint
+
+
+def test_insert_and_delete_are_the_fingerprint_of_the_whole(spark):
+    lines = {1: ["a b c d e", "", "x"], 2: ["q"], 3: ["same same same same"]}
+    more = {1: ["new line of words", "x"], 3: [""]}
+    table = lambda d: frame(spark, [(i, "\n".join(v)) for i, v in d.items()])
+    both = lambda df: {r.doc_id: (r.exact, r.counts, r.units) for r in df.collect()}
+    before = fingerprint.vectors(table(lines), ["doc_id"])
+    after = fingerprint.insert(before, table(more), ["doc_id"])
+    assert both(after) == both(fingerprint.vectors(table({i: v + more.get(i, []) for i, v in lines.items()}), ["doc_id"]))
+    assert both(fingerprint.delete(after, table(more), ["doc_id"])) == both(before)
+
+
 def test_fingerprint_edges(spark):
     rows = fingerprint.fingerprint_edits(mixed(spark)).collect()
     assert len(rows) == 8 and sum(r.doc_id == 9 for r in rows) == 2
@@ -493,6 +557,11 @@ def test_archives(spark, tmp_path):
         record = warc.BundleReader(stream).record(place.frame, place.offset, place.length)
     assert record.startswith(b"WARC/1.1\r\n") and big.encode() in record
     assert warc.round_trip(pages.limit(0)).count() == 0
+    small = warc.write_archives(pages.repartition(3), f"file://{tmp_path}/v", frame_bytes=1, archive_bytes=1)
+    back = warc.read_archives(small, f"file://{tmp_path}/v")
+    assert back.rdd.getNumPartitions() == small.select("archive").distinct().count() > 3 and back.count() == 8
+    with pytest.raises((pa.ArrowInvalid, ValueError)):
+        warc.write_archives(pages, "nosuch://store/x")
 
 
 # ---- 2 and 10 classifiers ------------------------------------------------------------------------------------
