@@ -2,7 +2,8 @@
 
 A tree is a list of nodes: a string (one character or command), or a tuple whose first item names it:
 ("row", [..]), ("frac", a, b), ("root", body, index), ("script", sub, sup), ("fence", left, right, body),
-("big", command, body, low, high), ("dress", command, body), ("lines", [rows]), ("matrix", [[cells]]).
+("big", command, body, low, high), ("dress", command, body), ("arrow", command, above, below), ("lines", [rows]),
+("matrix", [[cells]]).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 
 from docframe.formula.tables import ESCAPES, FUNCTIONS, SYMBOLS
 
+SETS = {"N": "ℕ", "Z": "ℤ", "Q": "ℚ", "R": "ℝ", "C": "ℂ"}
 _NAMES = re.compile("|".join(sorted(FUNCTIONS, key=len, reverse=True)))
 
 
@@ -29,10 +31,23 @@ def char(c: str) -> str:
     return SYMBOLS.get(c) or ESCAPES.get(c) or c
 
 
+def sets(nodes: list) -> list:
+    """Number sets as such: one of N, Z, Q, R, C alone after a sign of belonging, or before a set difference."""
+    out = list(nodes)
+    alone = lambda i: not (0 <= i < len(out) and isinstance(out[i], str) and len(out[i]) == 1 and out[i].isalpha())
+    for i, node in enumerate(out):
+        if isinstance(node, str) and node in SETS and alone(i - 1) and alone(i + 1):
+            before = next((x for x in reversed(out[:i]) if x != " "), None)
+            after = next((x for x in out[i + 1 :] if x != " "), None)
+            if before in ("∈", "∉", "⊂", "⊆") or after in ("∖", "\\"):
+                out[i] = SETS[node]
+    return out
+
+
 def to_latex(nodes: list) -> str:
     out: list[str] = []
     run = ""
-    for node in [*nodes, None]:
+    for node in [*sets(nodes), None]:
         if isinstance(node, str) and node.isalpha() and node not in SYMBOLS:
             run += node
             continue
@@ -45,7 +60,7 @@ def to_latex(nodes: list) -> str:
     for piece in out:
         gap = re.search(r"\\[A-Za-z]+$", text) and piece[:1].isalpha()
         text += (" " if gap else "") + piece
-    return re.sub(r" {2,}", " ", text).strip()
+    return re.sub(r" +(?=[_^])", "", re.sub(r" {2,}", " ", text)).strip()
 
 
 def _one(node) -> str:
@@ -62,12 +77,17 @@ def _one(node) -> str:
     if kind == "script":
         return "".join(f"{mark}{{{x}}}" for mark, part in zip("_^", rest, strict=True) if (x := to_latex(part)))
     if kind == "fence":
+        if not to_latex(rest[2]):  # a fence around nothing is no part of a formula
+            return ""
         return rf"\left{rest[0]} {to_latex(rest[2])} \right{rest[1]}"
     if kind == "big":
         command, body, low, high = rest
         return f"{command}{_one(('script', low, high))} {to_latex(body)}"
     if kind == "dress":
         return f"{rest[0]}{{{to_latex(rest[1])}}}"
+    if kind == "arrow":
+        below = to_latex(rest[2])
+        return rest[0] + (f"[{below}]" if below else "") + f"{{{to_latex(rest[1])}}}"
     if kind == "lines":
         return r"\begin{array}{l}" + r" \\ ".join(to_latex(r) for r in rest[0]) + r"\end{array}"
     if kind == "matrix":
@@ -120,8 +140,3 @@ def repair(latex: str) -> str:
         out.append(token)
     closing = {"{": "}", r"\left": r"\right."}
     return "".join(out + [closing[x] for x in reversed(stack)])
-
-
-def html(latex: str | None, escape) -> str:
-    """The formula for a page's typesetter, or nothing."""
-    return rf'<span class="math">\({escape(latex)}\)</span>' if latex else ""

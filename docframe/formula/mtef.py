@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import re
 
-from docframe.formula import latex
-from docframe.formula.tables import DIVISION, DRESSINGS, FENCES, FRACTION, INTERVAL, LIMIT, OPERATORS, ROOT, SCRIPT, SUB, SUBSUP, SUP, TCVN3
+from docframe.formula import latex, rows
+from docframe.formula import tables as t
 
 END, LINE, CHAR, TMPL, PILE, MATRIX, EMBELL, RULER, FONT_STYLE, SIZE, FULL, SUBSYM, COLOR, COLOR_DEF, FONT_DEF, PREFS, ENCODING = 0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 14, 15, 16, 17, 18, 19
 NULL_LINE, EMBELLISHED, HAS_RULER, CHAR_BYTE, LINE_SPACE, NUDGED, CHAR_WORD, NO_CODE = 0x01, 0x01, 0x02, 0x04, 0x04, 0x08, 0x10, 0x20
@@ -24,7 +24,7 @@ class Damaged(Exception):
 
 class Stream:
     def __init__(self, data: bytes):
-        self.data, self.at, self.fonts, self.selectors, self.damaged = data, 0, [], [], False
+        self.data, self.at, self.fonts, self.selectors, self.damaged, self.fences = data, 0, [], [], False, 0
 
     def byte(self) -> int:
         if self.at >= len(self.data):
@@ -143,8 +143,8 @@ class Stream:
             self.byte(), self.byte()
             if options & HAS_RULER:
                 self.ruler()
-            rows = [x[1] for x in self.objects(depth + 1) if x[0] == "row"]
-            return [("lines", rows) if len(rows) > 1 else ("row", rows[0] if rows else [])]
+            found = [x[1] for x in self.objects(depth + 1) if x[0] == "row"]
+            return [("row", rows.arrange(found, self.fences > 0))]
         self.skip(kind)
         return []
 
@@ -167,20 +167,24 @@ class Stream:
             code = self.byte() if options & NO_CODE else (self.byte(), code)[1]
         if options & CHAR_WORD:
             code = self.word() if options & NO_CODE else (self.word(), code)[1]
-        primes = ""
+        marks = []
         if options & EMBELLISHED:
             while (kind := self.byte()) != END:
                 if kind != EMBELL:
                     raise Damaged(f"embellishment {kind}")
                 self.nudge(self.byte())
-                mark = self.byte()
-                primes += "'" if 5 <= mark <= 8 else ""
+                marks.append(self.byte())
+        return embellished(self.letter(code, face), marks)
+
+    def letter(self, code: int, face: int) -> list:
         font = self.fonts[-face - 1] if face < 0 and -face <= len(self.fonts) else ""
-        if font.startswith(".Vn") and code in TCVN3:
-            return [TCVN3[code], *primes]
+        if code in t.PRIVATE_LETTERS:
+            return [t.PRIVATE_LETTERS[code]]
+        if font.lower().startswith(".vn") and code in t.TCVN3:
+            return [t.TCVN3[code]]
         if 0xE000 <= code <= 0xF8FF:
             code = code & 0xFF if 0x20 < code & 0xFF < 0x7F else 0x20
-        return [chr(code), *primes] if code else list(primes)
+        return [chr(code)] if code else []
 
     def matrix(self, depth: int):
         options = self.byte()
@@ -203,34 +207,67 @@ class Stream:
             variation = variation & 0x7F | self.byte() << 7
         self.byte()
         self.selectors.append(selector)
+        fence = selector in t.FENCES or selector == t.INTERVAL
+        self.fences += fence
         parts = self.objects(depth + 1)
+        self.fences -= fence
         slots = [x[1] for x in parts if isinstance(x, tuple) and x[0] == "row"]
-        slots += [[]] * (3 - len(slots))
-        body, second, third = slots[:3]
-        if selector in FENCES:
-            left, right = FENCES[selector]
-            if variation & 3:
-                left, right = left if variation & 1 else ".", right if variation & 2 else "."
-            return ("fence", left, right, body)
-        if selector == INTERVAL:
-            return ("fence", "[" if variation & 0x20 else "(", "]" if variation & 0x200 else ")", body)
-        if selector == ROOT:
-            return ("root", body, second)
-        if selector in (FRACTION, DIVISION):
-            return ("frac", body, second)
-        if selector in (SCRIPT, SUBSUP):
-            return ("script", body, second)
-        if selector == SUB:
-            return ("script", body, [])
-        if selector == SUP:
-            return ("script", [], second or body)
-        if selector == LIMIT:
-            return ("row", [("row", body), ("script", second, third)])
-        if selector in OPERATORS:
-            return ("big", OPERATORS[selector], body, second, third)
-        if selector in DRESSINGS:
-            return ("dress", DRESSINGS[selector], body)
+        drawn = next((x for x in reversed(parts) if isinstance(x, str)), "")
+        return shaped(selector, variation, [*slots, [], [], []], drawn)
+
+
+def embellished(letter: list, marks: list[int]) -> list:
+    """A character with the marks above it, then its primes."""
+    out = letter
+    for mark in marks:
+        if mark in t.MARKS and letter:
+            out = [("dress", t.MARKS[mark], out)]
+    return [*out, *["'"] * sum(t.PRIMES.get(mark, 0) for mark in marks)]
+
+
+def shaped(selector: int, variation: int, slots: list[list], drawn: str):
+    """The node of a template; drawn is the sign that it draws itself. An unknown selector keeps all its slots."""
+    body, second, third = slots[:3]
+    if selector in t.FENCES:
+        left, right = t.FENCES[selector]
+        if variation & 3:
+            left, right = left if variation & 1 else ".", right if variation & 2 else "."
+        return ("fence", left, right, body)
+    if selector == t.INTERVAL:
+        sides = ("(", ")", "[", "]")
+        return ("fence", sides[variation & 3], sides[variation >> 4 & 3], body)
+    if selector == t.DIRAC:
+        middle = [*body, "|", *second] if variation & 3 == 3 else body or second
+        return ("fence", r"\langle" if variation & 3 != 2 else "|", r"\rangle" if variation & 3 != 1 else "|", middle)
+    if selector == t.ROOT:
+        return ("root", body, second)
+    if selector == t.FRACTION:
+        return ("row", [*body, "/", *second]) if variation & 2 else ("frac", body, second)
+    if selector == t.DIVISION:
+        return ("row", [("dress", r"\overline", [")", *body]), ("script", [], second)])
+    if selector in (t.SUB, t.SUP, t.SUBSUP):
+        low, high = (body, second) if selector == t.SUBSUP else (body, []) if selector == t.SUB else ([], second or body)
+        return ("script", low, high)
+    if selector == t.LIMIT:
         return ("row", [("row", body), ("script", second, third)])
+    if selector == t.INTEGRAL:
+        sign = r"\oint" if variation & 0xC else (r"\int", r"\int", r"\iint", r"\iiint")[variation & 3]
+        return ("big", sign, body, second, third)
+    if selector in t.OPERATORS:
+        return ("big", t.OPERATORS[selector], body, second, third)
+    if selector in (t.INTEGRAL_LIKE, t.SUM_LIKE):
+        return ("big", latex.char(drawn) or (r"\int" if selector == t.INTEGRAL_LIKE else r"\sum"), body, second, third)
+    if selector in (t.BRACE, t.BRACKET):
+        over = variation & 1
+        return ("row", [("dress", r"\overbrace" if over else r"\underbrace", body), ("script", [] if over else second, second if over else [])])
+    if selector == t.ARROW:
+        return ("arrow", r"\xleftarrow" if variation & 0x10 and not variation & 0x20 else r"\xrightarrow", body, second)
+    if selector == t.VECTOR:
+        both = variation & 3 == 3
+        return ("dress", r"\overleftrightarrow" if both else r"\overleftarrow" if variation & 1 else r"\vec" if len(body) < 2 else r"\overrightarrow", body)
+    if selector in t.DRESSINGS:
+        return ("dress", t.DRESSINGS[selector], body)
+    return ("row", [("row", body), ("script", second, third)])
 
 
 def decode(stream: bytes | None) -> dict:
@@ -256,7 +293,8 @@ def decode(stream: bytes | None) -> dict:
         partial = reader.damaged or any(stream[reader.at :])
     except Damaged:
         partial = True
-    text = latex.to_latex(nodes)
+    lines = [x[1] for x in nodes if isinstance(x, tuple) and x[0] == "row"]
+    text = latex.to_latex(rows.arrange(lines) if len(lines) == len(nodes) > 1 else nodes)
     if not text:
         return none | {"selectors": reader.selectors}
     return {"latex": latex.repair(text), "source": "mtef_partial" if partial else "mtef", "selectors": reader.selectors, "defects": latex.defects(text)}

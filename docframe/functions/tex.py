@@ -35,3 +35,16 @@ def sendable(latex: Column) -> Column:
     """Braces and fences in balance."""
     b = balance(latex)
     return (b["braces"] == 0) & (b["fences"] == 0)
+
+
+_WORD = r"\p{L}*[\p{L}&&[^A-Za-z]]\p{L}*"
+
+
+def display(latex: Column) -> Column:
+    """The formula as a page's typesetter should get it: one spelling of "not equal" and of set difference, indices that
+    were typed beside their letter, limits below their operator, words in other scripts as text."""
+    for spelling, kept in (("\\neq", "\\ne"), ("≠", "\\ne "), ("∖", "\\setminus ")):
+        latex = F.replace(latex, F.lit(spelling), F.lit(kept))
+    latex = F.regexp_replace(latex, r"(?<![\\A-Za-z])([A-Za-z])([0-9]+)(?![0-9A-Za-z])", "$1_{$2}")
+    latex = F.regexp_replace(latex, r"(?<![A-Za-z])\\?(lim|max|min|sup|inf) ?_", r"\\$1\\limits_")
+    return F.regexp_replace(latex, rf"(?<!\\text\{{[^{{}}]{{0,200}})(?<!\p{{L}}){_WORD}(?: +{_WORD})*", r"\\text{ $0 }")
