@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docframe.functions.text import fold, strip
 from docframe.plans.config import BOLD_TITLES, NUMBERING, TITLE_KINDS
@@ -43,3 +44,30 @@ def title_kind(title: Column) -> Column:
 def bold_by_vote(bold_runs: Column, runs: Column) -> Column:
     """A paragraph is bold if at least half of its runs, and one, are."""
     return bold_runs >= F.greatest(F.lit(1), F.floor(runs / 2))
+
+
+def split_lines(blocks: DataFrame, key: str = "path", least: int = 2) -> DataFrame:
+    """blocks plus at (their order): a paragraph whose lines hold at least `least` headings is one block for each line,
+    every line with its own inlines and its own bold vote; any other block is as it was. Only paragraphs with line
+    breaks are taken apart."""
+    at = F.shiftleft(F.col("block_idx").cast("long"), 20)
+    broken = (F.col("kind") == "para") & F.col("text").contains("\n")
+    whole = blocks.withColumn("at", at)
+    pieces = whole.where(broken).select(key, "at", "style", F.posexplode("inlines").alias("_i", "_x"))
+    pieces = pieces.select(key, "at", "style", "_i", "_x", F.posexplode(F.when(F.col("_x.kind") == "text", F.split("_x.text", "\n")).otherwise(F.array(F.lit("")))).alias("_j", "_t"))
+    upto = Window.partitionBy(key, "at").orderBy("_i", "_j").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = pieces.withColumn("_line", F.sum((F.col("_j") > 0).cast("long")).over(upto))
+    text = F.col("_x.kind") == "text"
+    piece = F.col("_x").withField("text", F.when(text, F.col("_t")).otherwise(F.col("_x.text")))
+    shown = text & (strip(F.col("_t")) != "")
+    lines = pieces.where(~text | (F.col("_t") != "")).groupBy(key, "at", "_line").agg(
+        F.first("style").alias("style"), F.transform(F.array_sort(F.collect_list(F.struct("_i", "_j", piece.alias("x")))), lambda v: v["x"]).alias("inlines"),
+        F.count_if(shown).alias("_n"), F.count_if(shown & F.col("_x.bold")).alias("_b"),
+    )
+    said = strip(F.array_join(F.transform(F.filter("inlines", lambda x: x["kind"] == "text"), lambda x: x["text"]), ""))
+    lines = lines.withColumn("text", said).withColumn("bold", (F.col("_n") > 0) & bold_by_vote(F.col("_b"), F.col("_n")))
+    apart = lines.withColumn("_heads", F.count_if(heading(F.col("text"), F.col("bold"), F.col("style"))).over(Window.partitionBy(key, "at"))).where(F.col("_heads") >= least)
+    own = whole.drop("inlines", "text", "bold", "at", "style")
+    split = apart.join(own.withColumn("at", at), [key, "at"]).withColumn("at", F.col("at") + F.col("_line"))
+    kept = whole.where(~broken).unionByName(whole.where(broken).join(apart.select(key, "at").distinct(), [key, "at"], "left_anti"))
+    return kept.unionByName(split.select(*kept.columns))

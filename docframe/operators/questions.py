@@ -11,14 +11,16 @@ from docframe.operators.structure import islands
 from docframe.plans import config
 
 
-def segments(blocks: DataFrame, is_level: Column, is_question: Column, looks_like: Column, key: str, *order: str) -> DataFrame:
+def segments(blocks: DataFrame, is_level: Column, is_question: Column, looks_like: Column, key: str, *order: str, size: Column | None = None, least: int = 30) -> DataFrame:
     """blocks of kept segments with seg and q_order. A level row opens a segment of its own kind and is not in it;
-    a question row opens a question; what is before or after a level without a question is kept if it looks
-    like one."""
+    a question row opens a question; what is before or after a level without a question is kept if one of its rows
+    looks like one, or if their sizes sum to more than `least`."""
     marked = blocks.withColumn("_level", is_level).withColumn("_question", is_question & ~is_level)
     numbered = islands(marked, F.col("_level") | F.col("_question"), "seg", key, *order)
     whole = Window.partitionBy(key, "seg")
     kept = numbered.withColumn("_named", F.max("_question").over(whole)).withColumn("_looks", F.max(looks_like).over(whole))
+    if size is not None:
+        kept = kept.withColumn("_looks", F.col("_looks") | (F.sum(size).over(whole) > least))
     kept = kept.where(~F.col("_level") & (F.col("_named") | F.col("_looks")))
     return kept.withColumn("q_order", F.dense_rank().over(Window.partitionBy(key).orderBy("seg")).cast("long")).drop("_level", "_question", "_named", "_looks")
 
@@ -55,16 +57,27 @@ def only_marked(rows: DataFrame, key: str, mark: Column, label: str) -> DataFram
     return rows.groupBy(key).agg(F.count_if(mark).alias("_n"), F.max(F.when(mark, F.col(label))).alias("marked")).where("_n = 1").select(key, "marked")
 
 
-def answer_from_text(line: Column, previous: Column) -> Column:
-    """struct(letter, source) of an answer line, or null."""
-    stated, chosen = F.regexp_extract(line, config.ANSWER, 1), F.regexp_extract(line, config.CHOSEN, 1)
-    after = previous.rlike(config.SOLUTION) & (chosen != "")
-    kind = "struct<letter:string,source:string>"
+def answer_from_text(first: Column, second: Column) -> Column:
+    """struct(letters, source, skip, rest) of a question's tail, whose first lines are given: the answer's letters or
+    null, where they come from, how many lines the explanation leaves out, and what is left of the last of those.
+
+    A stated answer may list several letters. A null first line means that there is no tail."""
+    stated, chosen, then = (F.upper(F.regexp_extract(line, pattern, 1)) for line, pattern in ((first, config.ANSWER), (first, config.CHOSEN), (second, config.CHOSEN)))
+    rest = lambda line, pattern: F.regexp_replace(line, pattern, "")
+
+    def said(letters: Column, source: str, skip: int, left: Column) -> Column:
+        return F.struct(letters.alias("letters"), F.lit(source).alias("source"), F.lit(skip).alias("skip"), F.trim(left).alias("rest"))
+
+    none = F.lit(None).cast("string")
+    solution = first.rlike(config.SOLUTION)
     return (
-        F.when(stated != "", F.struct(F.upper(stated).alias("letter"), F.lit("text:đáp_án").alias("source")))
-        .when(after | (chosen != ""), F.struct(F.upper(chosen).alias("letter"), F.lit("text:chọn").alias("source")))
-        .otherwise(F.lit(None).cast(kind))
-    )
+        F.when(first.isNull(), said(none, "none", 0, F.lit("")))
+        .when(stated != "", said(stated, "text:đáp_án", 1, rest(first, config.ANSWER)))
+        .when(solution & (F.coalesce(then, F.lit("")) != ""), said(then, "text:chọn", 2, rest(second, config.CHOSEN)))
+        .when(solution, said(none, "essay_no_answer_letter", 1, F.lit("")))
+        .when(chosen != "", said(chosen, "text:chọn", 1, rest(first, config.CHOSEN)))
+        .otherwise(said(none, "unrecognized_tail_format", 0, F.lit("")))
+    )
 
 
 def resolve(text_letter: Column, text_source: Column, underlined: Column, coloured: Column, has_choices: Column) -> Column:
@@ -81,19 +94,32 @@ def choice_id(letter: Column) -> Column:
 
 
 def fill_answers(stem: Column, tail: Column) -> Column:
-    """[[..]] of a gap text's answers, [[""]] where none is given; null where the stem has no gap."""
-    parts = F.filter(F.transform(F.split(F.coalesce(tail, F.lit("")), r"[,;]\s*"), F.trim), lambda x: x != "")
-    return F.when(stem.rlike(r"___|\[\.\.\.\]"), F.array(F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))))
+    """[[..]] of a gap text's answers, without the words that announce them; [[""]] where none is given; null where the
+    stem has no gap."""
+    plain = F.regexp_replace(F.coalesce(tail, F.lit("")), config.ANSWER_HEAD + r"\s*[:.\-]?\s*", "")
+    parts = F.filter(F.transform(F.split(plain, r"[,;]\s*"), F.trim), lambda x: x != "")
+    return F.when(stem.rlike(config.GAP), F.array(F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))))
 
 
 def true_false(choices_text: Column) -> Column:
     """Whether two or more choices all begin like a), b) or 1., 2."""
-    return (F.size(choices_text) >= 2) & F.forall(choices_text, lambda c: c.rlike(r"^(?:<p>)?\s*[a-d1-4][.)]"))
+    return (F.size(choices_text) >= 2) & F.forall(choices_text, lambda c: c.rlike(config.TRUE_FALSE))
+
+
+def true_false_values(count: Column, tail: Column) -> Column:
+    """[{id, value}] for each statement: "true" or "false" as the tail says of its letter, null where it says nothing."""
+
+    def value(i: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])"), F.char(i + 96), F.lit(r"[.)]?\s*(đúng|sai|true|false)(?![\p{L}\p{N}_])"))
+        word = F.lower(F.get(F.regexp_extract_all(tail, pattern, F.lit(1)), F.lit(0)))
+        return F.struct(i.alias("id"), F.when(word.isin("đúng", "true"), "true").when(word.isin("sai", "false"), "false").alias("value"))
+
+    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), value))
 
 
 def question_type(n_choices: Column, grouped: Column, gap: Column, n_answers: Column) -> Column:
     return (
-        F.when(grouped, "true-false").when((n_choices == 0) & gap, "fill-blank").when(n_choices == 0, "essay")
+        F.when(grouped, "true-false-group").when((n_choices == 0) & gap, "fill-answer").when(n_choices == 0, "essay")
         .when(n_answers > 1, "multiple-choice").otherwise("single-choice")
     )
 

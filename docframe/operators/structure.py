@@ -101,6 +101,19 @@ def split_soft_breaks(paragraphs: DataFrame, is_heading, key: str = "doc_id", id
     return counted.select(key, idx, F.posexplode(parts).alias("part", "text")).withColumn("part", F.col("part").cast("long"))
 
 
+def with_intro(headings: DataFrame, blocks: DataFrame, filled: Column, key: str = "doc_id", idx: str = "block_idx", title: str = "Nội dung") -> DataFrame:
+    """headings (key, idx, level, title, ...) and a first node of level 1 for what stands before a document's first
+    heading: without a title where that holds something, with the given one where the document has no heading and
+    nothing but blank blocks. Its idx is -1."""
+    first = headings.groupBy(key).agg(F.min(idx).alias("_first"))
+    met = blocks.join(first, key, "left")
+    before = F.count_if(filled & (F.col(idx) < F.coalesce("_first", F.lit(1 << 62))))
+    found = met.groupBy(key).agg(before.alias("_n"), F.max("_first").alias("_first")).where("_n > 0 OR _first IS NULL")
+    made = {key: F.col(key), idx: F.lit(-1).cast("long"), "level": F.lit(1).cast("long"), "title": F.when(F.col("_n") > 0, "").otherwise(title)}
+    rest = [F.lit(None).cast(headings.schema[c].dataType).alias(c) for c in headings.columns if c not in made]
+    return headings.unionByName(found.select(*[v.alias(k) for k, v in made.items()], *rest))
+
+
 def dedup_first(rows: DataFrame, key: list[str], *order: str, name: str = "is_first") -> DataFrame:
     """rows plus whether each is the first of its key; ties go by the order given."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) == 1)

@@ -305,7 +305,7 @@ def answer_resolution(spark, sf_dir):
     return rows.select("conv_id", "turn", F.col("_a.letter").alias("letter"), Q.choice_id(F.col("_a.letter")).cast("long").alias("choice_id"), F.col("_a.source").alias("source"))
 
 
-@query("""SELECT doc_id, CASE WHEN n >= 2 AND g THEN 'true-false' WHEN n = 0 AND gap THEN 'fill-blank' WHEN n = 0 THEN 'essay' WHEN a > 1 THEN 'multiple-choice' ELSE 'single-choice' END AS type
+@query("""SELECT doc_id, CASE WHEN n >= 2 AND g THEN 'true-false-group' WHEN n = 0 AND gap THEN 'fill-answer' WHEN n = 0 THEN 'essay' WHEN a > 1 THEN 'multiple-choice' ELSE 'single-choice' END AS type
   FROM (SELECT doc_id, n_chars % 5 AS n, n_chars % 3 = 0 AS g, contains(text, '###') AS gap, n_chars % 4 AS a FROM documents)""")
 def question_type(spark, sf_dir):
     n = F.col("n_chars")

@@ -34,16 +34,38 @@ SUBJECTS = (
 
 # Exercise markers, on text with accents.
 QUESTION = r"(?iu)^câu\s*(\d+)\s*[.:)]?\s*"
-LEVEL = r"^level ([123])\b"
+LEVEL = r"^level ?([123])\b"
 BLOOM = r"^(?:[ivx]+\.? ?)?(nhan biet|thong hieu|van dung cao|van dung)\b"
 OPTION = r"(?<![a-zA-Z])[A-D][.)](?:\s|$)"
 OPTION_MARK = r"^\s*([A-D])[.)]\s*"
 BARE_LETTER = r"^\s*([A-D])[.)]?\s*$"
 PUNCTUATION = r"^[.)\s]+$"
 ANSWER_HEAD = r"(?iu)^\s*(?:=>|->|→)?\s*(?:đáp\s*án|lời\s*giải|chọn)(?![\p{L}\p{N}_])"
-ANSWER = r"(?iu)^\s*(?:=>|->|→)?\s*đáp\s*án\s*[:.\-]?\s*([A-D])\b"
+ANSWER = r"(?iu)^\s*(?:=>|->|→)?\s*đáp\s*án\s*[:.\-]?\s*([A-D](?:\s*(?:,|;|và)\s*[A-D])*)(?![\p{L}\p{N}_])\s*[.:)]?\s*"
 SOLUTION = r"(?iu)^\s*lời\s*giải\s*$"
-CHOSEN = r"(?iu)^\s*chọn\s+([A-D])\b"
+CHOSEN = r"(?iu)^\s*chọn\s+([A-D])(?![\p{L}\p{N}_])\s*[.:)]?\s*"
+
+GAP = r"___|\[\.\.\.\]"
+TRUE_FALSE = r"(?i)^\s*(?:<p>)?\s*[a-d1-4][.)]"
+
+# Where a lesson's name, chapter and grade are found in a path or among the first paragraphs.
+SUBJECT_FOLDER = r"(toan|hoa|van|dia|gdktpl|su)\s*\d"
+GRADE = r"\b(1[0-2])\b"
+LESSON = r"(?iu)b[àa]i\s*([0-9]{1,2})"
+LESSON_PREFIX = r"(?iu)^.*?b[àa]i\s*[0-9]{1,2}\s*[.:\-–_)]*\s*"
+READING = r"(?iu)^(?:v[aă]n b[ảa]n|đọc)\s*[0-9]*\s*[:.\-–]\s*"
+CHAPTER = r"(?iu)^\s*chương(?![\p{L}\p{N}_])"
+
+# The textbook that the documents follow.
+BOOK, BOOK_NAME = "kntt", "Kết nối tri thức với cuộc sống"
+
+# The other cropping mode's markers and headings, parts of folded lines or beginnings of plain ones.
+CROP_START = r"kien thuc trong tam|ly thuyet|phan li thuyet"
+CROP_END = r"^(?:b ?[.\-–:] ?|phan )?bai tap|b\. ?bai tap"
+MAJOR = r"tong ket|ghi nho|doc van ban|kham pha van ban|ly thuyet"
+CROP_HEADINGS = (
+    ("H2", r"^\s*(?:[IVX]+|[A-Z])\s*[.\-–:]"), ("H3", r"^\s*(?:[0-9]+\.\s+|Hoạt động\s+[0-9]+|Câu hỏi\s+[0-9]+)"), ("H4", r"^\s*[a-z][).]\s+"), ("H5", r"^\s*\*.*:\s*$"),
+)
 
 # Labels and what they are written as.
 LABELS = (

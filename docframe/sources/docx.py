@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from docframe.functions.tex import confidence
 from docframe.functions.text import fold, mime_of, slug
-from docframe.plans.config import SUBJECTS
+from docframe.plans import config
 
 INLINE = "struct<kind:string,text:string,ref:int,bold:boolean,color:string,underline:boolean>"
 BLOCK = f"struct<block_idx:int,kind:string,style:string,ilvl:int,bold:boolean,text:string,inlines:array<{INLINE}>,rows:array<array<array<{INLINE}>>>>"
@@ -26,19 +26,21 @@ def scan(spark: SparkSession, paths: str | list[str], pattern: str = "*.docx") -
 
 
 def parse(files: DataFrame) -> DataFrame:
-    """One row a file: its blocks and assets, or the error that kept it from being read."""
+    """One row a file: its blocks and assets, or the error that kept it from being read. Files are handed on one by
+    one; what a scan puts in one partition is what comes at once."""
     from docframe.sources.ooxml import Package
 
+    def read(path: str, content: bytes) -> tuple:
+        try:
+            package = Package(bytes(content))
+            return path, list(package.blocks()), package.assets, None
+        except Exception as e:  # a damaged package is a row with an error, not the job's end
+            return path, [], [], f"{type(e).__name__}: {e}"
+
     def run(batches):
         for batch in batches:
-            out = []
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    package = Package(bytes(content))
-                    out.append((path, list(package.blocks()), package.assets, None))
-                except Exception as e:  # a damaged package is a row with an error, not the job's end
-                    out.append((path, [], [], f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["path", "blocks", "assets", "error"])
+                yield pd.DataFrame([read(path, content)], columns=["path", "blocks", "assets", "error"])
 
     return files.select("path", "content").mapInPandas(run, PARSED)
 
@@ -61,17 +63,44 @@ def assets(parsed: DataFrame) -> DataFrame:
     return kept.withColumn("confidence", confidence(F.coalesce("source", F.lit("")), F.col("selectors")))
 
 
+def heads(rows: DataFrame, most: int = 6) -> DataFrame:
+    """path, head: the texts of the first paragraphs of each file, in order."""
+    first = F.transform(F.array_sort(F.collect_list(F.when((F.col("kind") == "para") & (F.col("text") != ""), F.struct("block_idx", "text")))), lambda x: x["text"])
+    return rows.where(F.col("block_idx") < most).groupBy("path").agg(first.alias("head"))
+
+
 def metadata(path: Column, head: Column) -> dict[str, Column]:
-    """subject, subject_name, grade, number, title and doc_id from a file's folder, name and first paragraphs."""
-    folder, stem = fold(F.element_at(F.split(path, "/"), -2)), F.regexp_extract(path, r"([^/]+)\.[^.]+$", 1)
-    code = F.coalesce(*[F.when(folder.contains(k), F.lit(c)) for k, c, _ in SUBJECTS], F.lit("UNK"))
-    name = F.coalesce(*[F.when(folder.contains(k), F.lit(n)) for k, _, n in SUBJECTS], F.lit("?"))
-    grade = F.regexp_extract(folder, r"\b(1[0-2])\b", 1)
-    lesson = r"(?iu)b[àa]i\s*([0-9]{1,2})"
-    number = F.coalesce(F.nullif(F.regexp_extract(stem, lesson, 1), F.lit("")), F.nullif(F.regexp_extract(head, lesson, 1), F.lit("")))
-    title = F.trim(F.regexp_replace(F.regexp_replace(stem, r"(?iu)^.*b[àa]i\s*[0-9]{1,2}\s*[.:\-–]?\s*", ""), r"\([^)]*\)", ""))
-    doc_id = F.concat_ws("-", F.lower(code), F.coalesce(F.nullif(grade, F.lit("")), F.lit("0")), F.concat(F.lit("bai-"), F.coalesce(F.lpad(number, 2, "0"), F.lit("x"))), slug(title))
-    return {"subject": code, "subject_name": name, "grade": F.nullif(grade, F.lit("")).cast("int"), "number": number.cast("int"), "title": title, "doc_id": doc_id}
+    """subject, subject_name, grade, number, title, lesson, chapter and doc_id from a file's path and its first
+    paragraphs (an array). What is not found is null, "UNK" and "?" for a subject; nothing is guessed."""
+    parts = F.split(path, "/")
+    stem = F.regexp_extract(path, r"([^/]+)\.[^.]+$", 1)
+    folded = F.transform(parts, fold)
+    folder = F.coalesce(F.get(F.filter(folded, lambda x: x.rlike(config.SUBJECT_FOLDER)), F.lit(0)), fold(stem))
+    code = F.coalesce(*[F.when(folder.contains(k), F.lit(c)) for k, c, _ in config.SUBJECTS], F.lit("UNK"))
+    name = F.coalesce(*[F.when(folder.contains(k), F.lit(n)) for k, _, n in config.SUBJECTS], F.lit("?"))
+    grade = F.nullif(F.regexp_extract(folder, config.GRADE, 1), F.lit("")).cast("int")
+    lines = F.concat(F.array(stem), F.coalesce(head, F.array().cast("array<string>")))
+    named = F.get(F.filter(lines, lambda x: x.rlike(config.LESSON)), F.lit(0))
+    number = F.regexp_extract(named, config.LESSON, 1).cast("int")
+    reading = F.get(F.filter(head, lambda x: x.rlike(config.READING)), F.lit(0))
+    none = lambda x: F.nullif(F.trim(x), F.lit(""))
+    title = F.coalesce(
+        none(F.regexp_replace(reading, config.READING, "")), none(F.regexp_replace(named, config.LESSON_PREFIX, "")), F.trim(F.regexp_replace(stem, r"^\s*[0-9]+\s*[.)]\s*", ""))
+    )
+    title = F.trim(F.regexp_replace(title, r"^\((.*)\)$", "$1"))
+    title = F.coalesce(none(F.regexp_replace(title, r"^\(.+?\)\s*[-–]\s*", "")), stem)
+    above = F.filter(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x.rlike(config.CHAPTER))
+    chapter = F.trim(F.coalesce(F.get(above, F.lit(0)), F.get(F.filter(head, lambda x: x.rlike(config.CHAPTER)), F.lit(0))))
+    place = F.concat(F.lit("bai-"), F.coalesce(F.lpad(number.cast("string"), 2, "0"), F.lit("x")))
+    doc_id = F.concat_ws("-", F.lower(code), F.coalesce(grade, F.lit(0)).cast("string"), F.lit(config.BOOK), place, F.nullif(slug(title), F.lit("")))
+    lesson = F.when(number.isNotNull(), F.concat(F.lit("Bài "), number, F.lit(". "), title)).otherwise(title)
+    return {"subject": code, "subject_name": name, "grade": grade, "number": number, "title": title, "lesson": lesson, "chapter": chapter, "doc_id": doc_id}
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """path and metadata of every file that has blocks."""
+    found = heads(rows)
+    return found.select("path", *[c.alias(n) for n, c in metadata(F.col("path"), F.col("head")).items()])
 
 
 def stem_of(path: str) -> str:

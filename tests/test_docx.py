@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docframe.operators import labelling
-from docframe.plans import lessons
+from docframe.plans import exercises, lessons
 from docframe.sources import docx, sinks
 from docframe.sources.cfb import equation_stream
 from docframe.streaming import ingest
@@ -101,19 +101,19 @@ def test_theory_sections_and_page(spark, parsed):
     limits, kept = lessons.theory(parsed)
     row = limits.where("first IS NOT NULL").collect()[0]
     assert (row.first, row["last"], row.flags) == (1, 11, "")
-    sections = [(r.title, r.level, r.path, r.title_kind) for r in lessons.sections(kept).select("title", "level", F.col("path"), "title_kind").orderBy("title").collect()]
-    assert [s[0] for s in sections] == ["Ví dụ", "Định nghĩa", "PEPTIDE"] or len(sections) == 3
+    sections = [(r.tree_path, r.title, r.level, r.numbering, r.title_kind) for r in lessons.sections(kept).orderBy("at").collect()]
+    assert sections == [("1", "Định nghĩa", 2, "1", "definition"), ("2", "Ví dụ", 2, "2", "example"), ("3", "PEPTIDE", 1, "B", "concept")]
     html = lessons.pages(parsed).collect()[0].html
     assert "<ul><li>một</li><li>hai</li></ul>" in html and r'<span class="math">\(x\)</span>' in html and "data:image/png;base64," in html
     assert "<b>f</b>" in html and "<table><tr><td>ô</td></tr></table>" in html
 
 
 def test_questions(parsed):
-    rows = {r.q_order: r for r in lessons.questions(parsed).collect()}
+    rows = {r.q_order: r for r in exercises.questions(parsed).collect()}
     assert [(rows[i].type, rows[i].answer, rows[i].answer_source) for i in sorted(rows)] == [
-        ("single-choice", "B", "text:đáp_án"), ("single-choice", "A", "format:color"), ("single-choice", "B", "format:underline"), ("fill-blank", None, "essay_no_answer_letter"),
+        ("single-choice", "[2]", "text:đáp_án"), ("single-choice", "[1]", "format:color"), ("single-choice", "[2]", "format:underline"), ("fill-answer", '[[""]]', "none"),
     ]
-    assert [c.content for c in rows[1].choices] == ["một", "hai"] and rows[1].cognitive_level_num == 2 and "Vì hai." in rows[1].explanation
+    assert [c.content for c in rows[1].choices] == ["<p>một</p>", "<p>hai</p>"] and rows[1].cognitive_level_num == 2 and "Vì hai." in rows[1].explanation
 
 
 def test_sinks(spark, parsed, tmp_path):

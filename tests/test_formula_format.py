@@ -71,7 +71,7 @@ def test_rows_of_a_pile():
     assert pile("y=lim", "x→0", "f") == r"y=\lim_{x\to0} f" and pile("x=a", "b") == "x=a b"
     assert pile("lim", "", "x→2") == r"\lim_{x\to2}"
     call = line(*map(char, "y=1sin"), template(1, line(char("x")), variation=3))
-    assert pile(call, "=z") == r"\begin{array}{l}y=1 \\ \sin\left( x \right) =z\end{array}"
+    assert pile(call, "=z") == r"\begin{array}{l}y=1 \\ \sin \left( x \right) =z\end{array}"
     limit = line(*map(char, "lim"), template(27, line(*map(char, "x→0"))))
     assert pile(limit, line(template(28, NIL, line(char("+"))), char("f"))) == r"\lim_{x\to0^{+}}f"
 

@@ -49,7 +49,7 @@ def test_heading_and_kinds(spark):
 
 
 def test_answers_and_labels(spark):
-    assert column(spark, ["=> Đáp án: B", "ĐÁP ÁN C.", "Chọn D", "không"], lambda c: Q.answer_from_text(c, F.lit(""))["letter"]) == ["B", "C", "D", None]
+    assert column(spark, ["=> Đáp án: B", "ĐÁP ÁN C.", "Chọn D", "không"], lambda c: Q.answer_from_text(c, F.lit(""))["letters"]) == ["B", "C", "D", None]
     assert column(spark, ["van_dung_cao", "Van dung", "x", None, " nhan_biet "], lambda c: Q.parse_label(c)["number"]) == [4, 3, None, None, 1]
     assert column(spark, ["Level 2", "II. Vận dụng cao", "Nhận biết", "Level 7"], lambda c: Q.heading_level(c)["number"]) == [2, 4, 1, None]
 
