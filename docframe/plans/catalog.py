@@ -7,8 +7,6 @@ stream of formatted runs, labels are enrichment. Markers are parameters; each bi
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,25 +16,10 @@ from docframe.operators import blocks as B
 from docframe.operators import quality
 from docframe.operators import questions as Q
 from docframe.operators import structure as S
-from docframe.plans import config
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from docframe.plans import config, crop
+from docframe.plans.registry import ORACLE_SQL, QUERIES, query, table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.lines(table(spark, sf_dir, "documents"))
@@ -107,14 +90,8 @@ def html_escape(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text.html_escape(F.col("html")).cast("binary")).alias("escaped_md5"))
 
 
-@query("SELECT doc_id, CASE WHEN octet_length(encode(text)) > 0 THEN '<img src=\"data:text/plain;base64,' || base64(encode(text)) || '\">' ELSE '' END AS img FROM documents WHERE n_chars <= 500")
+@query("SELECT doc_id, CASE WHEN octet_length(encode(text)) > 0 THEN '<img src=\"data:text/plain;base64,' || base64(encode(text)) || '\">' ELSE '' END AS img FROM documents")
 def data_uri(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("n_chars <= 500").select("doc_id", text.data_uri(F.col("text").cast("binary"), F.lit("text/plain")).alias("img"))
-
-
-@query()
-def data_uri_whole(spark, sf_dir):
-    """Every document's whole text; data_uri is bound to its SQL, which takes texts of up to 500 characters."""
     return table(spark, sf_dir, "documents").select("doc_id", text.data_uri(F.coalesce("text", F.lit("")).cast("binary"), F.lit("text/plain")).alias("img"))
 
 
@@ -147,13 +124,20 @@ def kind_hint(spark, sf_dir):
 
 def _bounds(spark, sf_dir):
     size = F.length("text")
-    return S.bounds(_lines(spark, sf_dir), size <= 40, size.between(41, 80))
+    rows = _every(spark, sf_dir, S.bounds(_lines(spark, sf_dir), size <= 40, size.between(41, 80))).fillna(0, ["n_starts"])
+    return rows.withColumn("flags", F.coalesce("flags", F.lit("THEORY_START_NOT_FOUND")))
+
+
+def _every(spark, sf_dir, rows):
+    """rows (one a document that has lines) and a row for every other doc_id, without values."""
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id")).distinct()
+    return ids.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")), "left").drop("doc_id").withColumnRenamed("_id", "doc_id")
 
 
 BOUNDS = LINES + """, s AS (SELECT doc_id, min(block_idx) FILTER (length(text) <= 40) AS first FROM b GROUP BY doc_id),
 e AS (SELECT b.doc_id, min(block_idx) AS last FROM b JOIN s USING (doc_id) WHERE length(text) BETWEEN 41 AND 80 AND block_idx > first GROUP BY b.doc_id),
-lim AS (SELECT b.doc_id, any_value(first) AS first, any_value(last) AS last, count(*) FILTER (length(text) <= 40 AND (last IS NULL OR block_idx < last)) AS n_starts
-        FROM b JOIN s USING (doc_id) LEFT JOIN e USING (doc_id) GROUP BY b.doc_id)"""
+lim AS (SELECT d.doc_id, any_value(first) AS first, any_value(last) AS last, count(*) FILTER (length(b.text) <= 40 AND (last IS NULL OR block_idx < last)) AS n_starts
+        FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN e USING (doc_id) GROUP BY d.doc_id)"""
 
 
 @query(f"""WITH {BOUNDS} SELECT doc_id, first, last, n_starts, concat_ws(',', CASE WHEN first IS NULL THEN 'THEORY_START_NOT_FOUND' END,
@@ -349,16 +333,17 @@ def confidence(spark, sf_dir):
 
 # ---- quality -------------------------------------------------------------------------------------------------
 
-STATS = LINES + """, st AS (SELECT doc_id, count(*) AS blocks, count(*) FILTER (length(text) <= 80) AS sections, sum(len(regexp_extract_all(text, '[^ \\t\\r\\f\\v]+')))::BIGINT AS words,
-  count(*) FILTER (contains(text, '|')) AS tables, count(*) FILTER (length(text) <= 40) AS n_starts FROM b GROUP BY doc_id)"""
+STATS = LINES + """, st AS (SELECT d.doc_id, count(b.text) AS blocks, count(*) FILTER (length(b.text) <= 80) AS sections, coalesce(sum(len(regexp_extract_all(b.text, '[^ \\t\\r\\f\\v]+'))), 0)::BIGINT AS words,
+  count(*) FILTER (contains(b.text, '|')) AS tables, count(*) FILTER (length(b.text) <= 40) AS n_starts FROM documents d LEFT JOIN b USING (doc_id) GROUP BY d.doc_id)"""
 
 
 def _stats(spark, sf_dir):
     size = F.length("text")
-    return _lines(spark, sf_dir).groupBy("doc_id").agg(
+    found = _lines(spark, sf_dir).groupBy("doc_id").agg(
         F.count("*").alias("blocks"), F.count_if(size <= 80).alias("sections"), F.sum(F.regexp_count("text", F.lit(r"[^ \t\r\f\x0B]+"))).cast("long").alias("words"),
         F.count_if(F.col("text").contains("|")).alias("tables"), F.count_if(size <= 40).alias("n_starts"),
     )
+    return _every(spark, sf_dir, found).fillna(0, ["blocks", "sections", "words", "tables", "n_starts"])
 
 
 @query(f"WITH {STATS} SELECT * FROM st")
@@ -366,40 +351,6 @@ def doc_stats(spark, sf_dir):
     return _stats(spark, sf_dir)
 
 
-def _every(spark, sf_dir, rows):
-    """rows (one a document that has lines) and a row for every other doc_id, without values."""
-    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id")).distinct()
-    return ids.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")), "left").drop("doc_id").withColumnRenamed("_id", "doc_id")
-
-
-def _stats_whole(spark, sf_dir):
-    return _every(spark, sf_dir, _stats(spark, sf_dir)).fillna(0, ["blocks", "sections", "words", "tables", "n_starts"])
-
-
-@query()
-def doc_stats_whole(spark, sf_dir):
-    """With zeros for documents without lines, which doc_stats, bound to its SQL, leaves out; so the three below."""
-    return _stats_whole(spark, sf_dir)
-
-
-@query()
-def qa_gates_whole(spark, sf_dir):
-    return _gates(_stats_whole(spark, sf_dir)).select("doc_id", "flags", "status")
-
-
-@query()
-def qa_rollup_whole(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id"), "lang")
-    met = docs.join(_gates(_stats_whole(spark, sf_dir)), F.col("_id").eqNullSafe(F.col("doc_id")))
-    return met.rollup("lang", "status").agg(F.count("*").alias("docs"))
-
-
-@query()
-def theory_bounds_whole(spark, sf_dir):
-    rows = _every(spark, sf_dir, _bounds(spark, sf_dir)).fillna(0, ["n_starts"])
-    return rows.withColumn("flags", F.coalesce("flags", F.lit("THEORY_START_NOT_FOUND")))
-
-
 GATES = STATS + """, g AS (SELECT doc_id, words < 50 AND tables < 2 AS f1, 1.0 - 0.05 * least(tables, 10) AS share, sections = 0 AS f4, words < 150 AS w1, n_starts <> 1 AS w4 FROM st),
   q AS (SELECT doc_id, concat_ws(',', CASE WHEN f1 THEN 'FEW_WORDS' END, CASE WHEN share < 0.7 THEN 'FORMULAS_UNRESOLVED' END, CASE WHEN f4 THEN 'NO_SECTIONS' END,
     CASE WHEN w1 THEN 'SHORT' END, CASE WHEN share < 0.9 THEN 'SOME_UNRESOLVED' END, CASE WHEN w4 THEN 'MARKERS' END) AS flags,
@@ -417,9 +368,10 @@ def qa_gates(spark, sf_dir):
     return _gates(_stats(spark, sf_dir)).select("doc_id", "flags", "status")
 
 
-@query(f"WITH {GATES} SELECT lang, status, count(*) AS docs FROM q JOIN documents USING (doc_id) GROUP BY ROLLUP (lang, status)")
+@query(f"WITH {GATES} SELECT lang, status, count(*) AS docs FROM q JOIN documents d ON q.doc_id IS NOT DISTINCT FROM d.doc_id GROUP BY ROLLUP (lang, status)")
 def qa_rollup(spark, sf_dir):
-    met = _gates(_stats(spark, sf_dir)).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id"), "lang")
+    met = docs.join(_gates(_stats(spark, sf_dir)), F.col("_id").eqNullSafe(F.col("doc_id")))
     return met.rollup("lang", "status").agg(F.count("*").alias("docs"))
 
 
@@ -448,13 +400,27 @@ def run_metrics(spark, sf_dir):
     return table(spark, sf_dir, "events").agg(F.count("*").alias("events"), F.count_if(F.col("event_type") == "error").alias("errors"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
 
 
-@query("""WITH k AS (SELECT doc_id, CASE WHEN doc_id % 10 < 4 THEN text END AS gt, CASE WHEN doc_id % 10 < 2 THEN text WHEN doc_id % 10 = 2 THEN '\\left ' || text ELSE text || 'x' END AS given FROM documents),
-  m AS (SELECT *, regexp_replace(replace(gt, '\\left', ''), '[\\s{}]', '', 'g') AS a, regexp_replace(replace(given, '\\left', ''), '[\\s{}]', '', 'g') AS b FROM k)
-  SELECT count(*) AS total, count(gt) AS with_truth, count(*) FILTER (gt = given) AS exact, count(*) FILTER (a = b) AS normalized, round(100.0 * count(*) FILTER (a = b) / count(gt), 3)::DOUBLE AS accuracy FROM m""")
+TRUTH = """WITH k AS (SELECT item_id, text AS gt, CASE item_id % 4 WHEN 0 THEN text WHEN 1 THEN '\\left ' || replace(text, ' ', '  ') WHEN 2 THEN replace(text, 'the', '{the}') ELSE text || '\\neq x' END AS given FROM benchmark),
+  m AS (SELECT *, regexp_replace(replace(replace(gt, '\\left', ''), '\\neq', '\\ne'), '[\\s{}]', '', 'g') AS a, regexp_replace(replace(replace(given, '\\left', ''), '\\neq', '\\ne'), '[\\s{}]', '', 'g') AS b FROM k)"""
+
+
+def _truth(spark, sf_dir):
+    """The benchmark's items as the truth, and other spellings of them as what was found."""
+    t, turn = F.col("text"), F.col("item_id") % 4
+    given = F.when(turn == 0, t).when(turn == 1, F.concat(F.lit("\\left "), F.replace(t, F.lit(" "), F.lit("  ")))).when(turn == 2, F.replace(t, F.lit("the"), F.lit("{the}"))).otherwise(F.concat(t, F.lit("\\neq x")))
+    return table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("file"), F.col("item_id").alias("rid"), t.alias("gt_tex"), given.alias("latex"))
+
+
+@query(TRUTH + """ SELECT count(*) AS total, count(gt) AS with_truth, count(*) FILTER (gt = given) AS exact, count(*) FILTER (a = b) AS normalized,
+  round(100.0 * count(*) FILTER (a = b) / count(gt), 3)::DOUBLE AS accuracy FROM m""")
 def groundtruth_eval(spark, sf_dir):
-    turn = F.col("doc_id") % 10
-    given = F.when(turn < 2, F.col("text")).when(turn == 2, F.concat(F.lit("\\left "), "text")).otherwise(F.concat("text", F.lit("x")))
-    return quality.evaluate(table(spark, sf_dir, "documents").select("doc_id", F.when(turn < 4, F.col("text")).alias("gt_tex"), given.alias("latex")))
+    return quality.evaluate(_truth(spark, sf_dir))
+
+
+@query(TRUTH + " SELECT item_id AS rid, md5(given) AS given_md5 FROM m WHERE a <> b ORDER BY item_id LIMIT 30")
+def groundtruth_mismatches(spark, sf_dir):
+    """The first 30 mismatches: a report, the limit is the feature."""
+    return quality.mismatches(_truth(spark, sf_dir)).select("rid", F.md5(F.col("latex").cast("binary")).alias("given_md5"))
 
 
 @query("""SELECT d.doc_id, md5(text) AS content_hash FROM documents d WHERE NOT EXISTS (SELECT 1 FROM documents o WHERE o.doc_id % 2 = 0 AND o.doc_id = d.doc_id AND
@@ -492,18 +458,14 @@ def head_blocks(spark, sf_dir):
     return _lines(spark, sf_dir).where("block_idx < 6").groupBy("doc_id").agg(head.alias("head"))
 
 
-@query("""WITH t AS (SELECT conv_id, min_by(text, turn) AS q, list(substr(text, 1, 20) ORDER BY turn) AS c FROM conversations GROUP BY conv_id)
-  SELECT conv_id, substr(q, 1, 800) || chr(10) || array_to_string(list_transform(c, lambda x, i: chr((64 + i)::INT) || '. ' || x), chr(10)) AS prompt FROM t""")
-def label_prompt(spark, sf_dir):
-    options = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.substring(x["text"], 1, 20))
-    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_q"), options.alias("_c"))
-    lettered = F.transform("_c", lambda c, i: F.concat(F.char(i + 65), F.lit(". "), c))
-    return grouped.select("conv_id", F.concat_ws("\n", F.substring("_q", 1, 800), F.array_join(lettered, "\n")).alias("prompt"))
+PLAIN = "substr(trim(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), 1, 800)"
 
 
-@query()
-def label_prompt_whole(spark, sf_dir):
-    """The prompt of whole turns; label_prompt is bound to its SQL, which takes the first 20 characters of each."""
+@query(f"""WITH t AS (SELECT conv_id, min_by(text, turn) AS q, list(text ORDER BY turn) AS c FROM conversations GROUP BY conv_id)
+  SELECT conv_id, 'Cau hoi:' || chr(10) || {PLAIN.format('q')} || chr(10) || chr(10) || 'Lua chon:' || chr(10) ||
+    array_to_string(list_transform(c, lambda x, i: chr((64 + i)::INT) || '. ' || {PLAIN.format('x')}), chr(10)) || chr(10) || chr(10) || 'Phan loai muc do nhan thuc:' AS prompt FROM t""")
+def label_prompt(spark, sf_dir):
+    """Whole turns; of each the prompt has the first 800 characters without tags, which is the operator's own limit."""
     options = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
     grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_q"), options.alias("_c"))
     return grouped.select("conv_id", Q.prompt(F.col("_q"), F.col("_c")).alias("prompt"))
@@ -528,25 +490,35 @@ def label_fallback(spark, sf_dir):
     return _replies(spark, sf_dir).select("doc_id", F.coalesce(Q.parse_label(F.col("_raw"))["number"], F.col("quality")).cast("long").alias("level"))
 
 
-@query(f"""WITH {LINES} SELECT doc_id, block_idx, CASE WHEN octet_length(encode(text)) NOT BETWEEN 1 AND 250 THEN 'P' WHEN regexp_matches(text, '^[IVX]+\\.') OR regexp_matches(text, '^[A-Z]\\.') THEN 'H2'
-  WHEN regexp_matches(text, '^[0-9]+\\.') THEN 'H3' WHEN regexp_matches(text, '^[a-z][.)]') THEN 'H4' WHEN regexp_matches(text, '^\\*.*:') THEN 'H5' ELSE 'P' END AS tag FROM b""")
-def pandoc_relevel(spark, sf_dir):
-    line = F.col("text")
-    tag = (
-        F.when(~F.octet_length(line).between(1, 250), "P").when(line.rlike(r"^[IVX]+\.") | line.rlike(r"^[A-Z]\."), "H2").when(line.rlike(r"^[0-9]+\."), "H3")
-        .when(line.rlike(r"^[a-z][.)]"), "H4").when(line.rlike(r"^\*.*:"), "H5").otherwise("P")
+OTHER = LINES + """, o AS (SELECT doc_id, block_idx, CASE block_idx % 12 WHEN 1 THEN 'Lý thuyết ' || block_idx WHEN 9 THEN 'B. BÀI TẬP' WHEN 3 THEN '- ' || text WHEN 4 THEN '1. ' || text WHEN 5 THEN 'b) ' || text
+    WHEN 6 THEN 'Hoạt động 2' WHEN 7 THEN '* Bố cục ' || text || ':' WHEN 8 THEN 'IV. ' || text WHEN 2 THEN 'Ghi nhớ' ELSE text END AS text FROM b),
+  f AS (SELECT *, """ + FOLD.format("text") + """ AS f FROM o)"""
+TAG = """CASE WHEN octet_length(encode(f)) NOT BETWEEN 1 AND 250 THEN 'P' WHEN regexp_matches(text, '^\\s*(?:[IVX]+|[A-Z])\\s*[.\\-–:]') OR regexp_matches(f, 'tong ket|ghi nho|doc van ban|kham pha van ban|ly thuyet') THEN 'H2'
+  WHEN regexp_matches(text, '^\\s*(?:[0-9]+\\.\\s+|Hoạt động\\s+[0-9]+|Câu hỏi\\s+[0-9]+)') THEN 'H3' WHEN regexp_matches(text, '^\\s*[a-z][).]\\s+') THEN 'H4' WHEN regexp_matches(text, '^\\s*\\*.*:\\s*$') THEN 'H5' ELSE 'P' END"""
+
+
+def _other(spark, sf_dir):
+    """Lines of documents, some of them made into what the other mode looks for."""
+    turn, line = F.col("block_idx") % 12, F.col("text")
+    made = (
+        F.when(turn == 1, F.concat(F.lit("Lý thuyết "), F.col("block_idx"))).when(turn == 9, "B. BÀI TẬP").when(turn == 3, F.concat(F.lit("- "), line)).when(turn == 4, F.concat(F.lit("1. "), line))
+        .when(turn == 5, F.concat(F.lit("b) "), line)).when(turn == 6, "Hoạt động 2").when(turn == 7, F.concat(F.lit("* Bố cục "), line, F.lit(":"))).when(turn == 8, F.concat(F.lit("IV. "), line))
+        .when(turn == 2, "Ghi nhớ").otherwise(line)
     )
-    return _lines(spark, sf_dir).select("doc_id", "block_idx", tag.alias("tag"))
-
-
-@query(f"""WITH {LINES}, s AS (SELECT doc_id, min(block_idx) FILTER (octet_length(encode(text)) <= 100 AND contains(lower(text), 'the')) AS first FROM b GROUP BY doc_id),
-  e AS (SELECT b.doc_id, min(block_idx) AS last FROM b JOIN s USING (doc_id) WHERE octet_length(encode(text)) <= 100 AND contains(lower(text), 'of') AND NOT contains(lower(text), 'the') AND block_idx > first GROUP BY b.doc_id)
-  SELECT b.doc_id, block_idx FROM b JOIN s USING (doc_id) LEFT JOIN e USING (doc_id) WHERE first IS NULL OR (block_idx > first AND (last IS NULL OR block_idx < last))""")
-def pandoc_crop(spark, sf_dir):
-    """The other cropping mode: markers are parts of short lines, and a document without a start is all theory."""
-    rows, folded = _lines(spark, sf_dir), F.lower("text")
-    short = F.octet_length("text") <= 100
-    limits = S.bounds(rows, short & folded.contains("the"), short & folded.contains("of"))
-    met = rows.join(limits.select("doc_id", "first", "last"), "doc_id")
-    inside = F.col("first").isNull() | ((F.col("block_idx") > F.col("first")) & (F.col("last").isNull() | (F.col("block_idx") < F.col("last"))))
-    return met.where(inside).select("doc_id", "block_idx")
+    return _lines(spark, sf_dir).withColumn("text", made)
+
+
+@query(f"WITH {OTHER} SELECT doc_id, block_idx, {TAG} AS tag FROM f")
+def crop_relevel(spark, sf_dir):
+    return _other(spark, sf_dir).select("doc_id", "block_idx", crop.relevel(F.col("text"), text.fold(F.col("text"))).alias("tag"))
+
+
+@query(f"""WITH {OTHER}, m AS (SELECT *, octet_length(encode(f)) <= 100 AND regexp_matches(f, 'kien thuc trong tam|ly thuyet|phan li thuyet') AS s,
+    octet_length(encode(f)) <= 100 AND regexp_matches(f, '^(?:b ?[.\\-–:] ?|phan )?bai tap|b\\. ?bai tap') AS e FROM f),
+  s AS (SELECT doc_id, min(block_idx) FILTER (s) AS first FROM m GROUP BY doc_id),
+  l AS (SELECT doc_id, any_value(first) AS first, min(block_idx) FILTER (e AND NOT s AND block_idx > first) AS last FROM m JOIN s USING (doc_id) GROUP BY doc_id)
+  SELECT doc_id, block_idx, CASE WHEN regexp_matches(text, '^\\s*[-+*•–—]\\s+') THEN 'LI' ELSE {TAG} END AS tag,
+    md5(CASE WHEN regexp_matches(text, '^\\s*[-+*•–—]\\s+') THEN trim(regexp_replace(text, '^\\s*[-+*•–—]\\s*', '')) ELSE text END) AS text_md5
+  FROM m JOIN l USING (doc_id) WHERE first IS NULL OR (block_idx > first AND (last IS NULL OR block_idx < last))""")
+def crop_outline(spark, sf_dir):
+    return crop.outline(_other(spark, sf_dir)).select("doc_id", "block_idx", "tag", F.md5(F.col("text").cast("binary")).alias("text_md5"))

@@ -1,4 +1,4 @@
-"""Queries that take the whole input where an older one is bound to its SQL, against plain Python."""
+"""Queries on texts of any length, null and empty ones, against plain Python."""
 
 import base64
 import re
@@ -9,7 +9,7 @@ from docframe.plans.catalog import QUERIES
 def test_data_uri_of_every_document(spark, tmp_path):
     texts = [(1, "a" * 501, 501), (2, "đ\n" * 4000, 8000), (3, "short", None), (4, "", 0), (5, None, None), (None, "x" * 77, 77)]
     spark.createDataFrame(texts, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.img for r in QUERIES["data_uri_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.img for r in QUERIES["data_uri"](spark, str(tmp_path)).collect()}
     assert got == {i: f'<img src="data:text/plain;base64,{base64.b64encode(t.encode()).decode()}">' if t else "" for i, t, _ in texts}
 
 
@@ -21,13 +21,13 @@ def test_label_prompt_of_whole_turns(spark, tmp_path):
     for conv in (1, 2):
         said = [plain(t) for c, _, t in sorted(turns, key=lambda x: x[:2]) if c == conv]
         want[conv] = f"Cau hoi:\n{said[0]}\n\nLua chon:\n" + "\n".join(f"{chr(65 + i)}. {t}" for i, t in enumerate(said)) + "\n\nPhan loai muc do nhan thuc:"
-    assert {r.conv_id: r.prompt for r in QUERIES["label_prompt_whole"](spark, str(tmp_path)).collect()} == want
+    assert {r.conv_id: r.prompt for r in QUERIES["label_prompt"](spark, str(tmp_path)).collect()} == want
 
 
 def test_documents_without_lines_are_counted(spark, tmp_path):
     texts = [(1, "one two", "en"), (2, None, "en"), (3, "", "vi"), (4, " \n\t", None), (None, None, "vi")]
     spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    rows = {name: QUERIES[f"{name}_whole"](spark, str(tmp_path)).collect() for name in ("doc_stats", "qa_gates", "qa_rollup", "theory_bounds")}
+    rows = {name: QUERIES[name](spark, str(tmp_path)).collect() for name in ("doc_stats", "qa_gates", "qa_rollup", "theory_bounds")}
     assert {r.doc_id: (r.blocks, r.sections, r.words, r.tables, r.n_starts) for r in rows["doc_stats"]} == {1: (1, 1, 2, 0, 1)} | dict.fromkeys((2, 3, 4, None), (0,) * 5)
     gates = {r.doc_id: (r.flags, r.status) for r in rows["qa_gates"]}
     assert len(gates) == 5 and all("FEW_WORDS" in gates[i][0] and "NO_SECTIONS" in gates[i][0] and gates[i][1] == "FAIL" for i in (2, 3, 4, None))
