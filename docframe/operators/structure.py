@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from docframe.plans.config import LADDER
 
 DEPTH = 6
+NEVER = -(1 << 62)
 
 
 def bounds(blocks: DataFrame, start: Column, end: Column, key: str = "doc_id", idx: str = "block_idx") -> DataFrame:
@@ -61,8 +62,8 @@ def tree(headings: DataFrame, key: str = "doc_id", idx: str = "block_idx", depth
     found = found.select("*", *orders)
     steps = []
     for k in last:
-        higher = [F.coalesce(F.col(f"_l{j}"), F.lit(-1)) for j in range(1, k)]
-        valid = (F.col("level") > k) & (F.col(f"_l{k}") > (F.greatest(*higher, F.lit(-1)) if higher else F.lit(-1)))
+        higher = [F.coalesce(F.col(f"_l{j}"), F.lit(NEVER)) for j in range(1, k)]
+        valid = (F.col("level") > k) & (F.col(f"_l{k}") > (F.greatest(*higher, F.lit(NEVER)) if higher else F.lit(NEVER)))
         steps.append(F.when(valid, F.col(f"_o{k}").cast("string")))
     found = found.withColumn("path", F.array_join(F.array_compact(F.array(*steps, F.col("ord").cast("string"))), "."))
     return found.drop(*[f"_l{k}" for k in last], *[f"_o{k}" for k in last])

@@ -152,11 +152,11 @@ def records(found: DataFrame, described: DataFrame) -> DataFrame:
     choices = F.when(F.size("choices") > 0, F.transform("choices", lambda c, i: F.struct((i + 1).alias("id"), c["content"].alias("content"))))
     first = F.struct(F.struct(F.col("record_id").alias("$oid")).alias("_id"), null.alias("examId"), "type", "content", choices.alias("choices"))
     last = F.struct(
-        F.col("fill_match_mode").alias("fillMatchMode"), F.col("essay_guideline").alias("essayGuideline"), "explanation", null.alias("imageUrl"), null.cast("double").alias("score"),
+        F.col("fill_match_mode").alias("fillMatchMode"), F.col("essay_guideline").alias("essayGuideline"), "explanation", null.alias("imageUrl"), F.lit(None).cast("double").alias("score"),
         F.col("q_order").alias("order"), F.lit(0).alias("isDeleted"), null.alias("createdAt"), null.alias("updatedAt"), F.lower("subject").alias("subject"), F.col("subject_name").alias("subject_vi"),
-        "grade", "cognitive_level", null.alias("difficulty"), F.lit(False).alias("is_synthesis"), null.cast("int").alias("estimated_time_sec"), F.col("chapter").alias("chapter_name"),
-        F.col("lesson").alias("lesson_name"), null.alias("kc_id"), null.cast("array<string>").alias("kc_ids"), "cognitive_level_num", null.cast("double").alias("elo_difficulty"),
-        null.cast("long").alias("time_fast_ms"), null.cast("long").alias("time_slow_ms"),
+        "grade", "cognitive_level", null.alias("difficulty"), F.lit(False).alias("is_synthesis"), F.lit(None).cast("int").alias("estimated_time_sec"), F.col("chapter").alias("chapter_name"),
+        F.col("lesson").alias("lesson_name"), null.alias("kc_id"), F.lit(None).cast("array<string>").alias("kc_ids"), "cognitive_level_num", F.lit(None).cast("double").alias("elo_difficulty"),
+        F.lit(None).cast("long").alias("time_fast_ms"), F.lit(None).cast("long").alias("time_slow_ms"),
     )
     whole = lambda s: F.to_json(s, {"ignoreNullFields": "false"})
     a, b = whole(first), whole(last)

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from docframe.plans.catalog import ORACLE_SQL, QUERIES
+from docframe.plans import catalog, package_queries  # noqa: F401
+from docframe.plans.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
