@@ -6,6 +6,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ def arguments(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("inputs", nargs="+", help="files or folders, read recursively")
     parser.add_argument("-o", "--out", help="folder to write to")
     parser.add_argument("-j", "--jobs", type=int, help="tasks that read packages at once")
+    parser.add_argument("--work", help="folder for finished stages, which a run that was stopped goes on from")
     parser.add_argument("--structured", action="store_true", help="questions: a folder for each file, as below the inputs")
     parser.add_argument("--inplace", action="store_true", help="label: write each record over its own file")
     parser.add_argument("--limit", type=int, help="label: only the first records by path")
@@ -74,7 +76,8 @@ def main(args: list[str] | None = None) -> int:
 
     files = docx.scan(spark, given.inputs)
     files = files.repartition(given.jobs) if given.jobs else files
-    parsed = docx.parse(files).persist()
+    stage = (lambda rows, name: sinks.stage(rows, given.work, name)) if given.work else None
+    parsed = stage(docx.parse(files), "parsed") if stage else docx.parse(files).persist(StorageLevel.DISK_ONLY)
     failed = parsed.where("error IS NOT NULL")
     for row in failed.select("path", "error").toLocalIterator():
         print(f"[ERROR] {row.path}: {row.error}", file=sys.stderr)
@@ -101,7 +104,7 @@ def main(args: list[str] | None = None) -> int:
         bad += parsed.where("error IS NULL").join(named.select("path"), "path", "left_anti").count()
         named.unpersist()
     else:
-        found = schema.validate(lessons.documents(parsed, files=files), "json", lesson_schema.LESSON).withColumn("name", F.concat("doc_id", F.lit(".json"))).persist()
+        found = schema.validate(lessons.documents(parsed, files=files, work=stage), "json", lesson_schema.LESSON).withColumn("name", F.concat("doc_id", F.lit(".json"))).persist()
         sinks.write_named(found, given.out, "name", "json").count()
         bad += found.where(~schema.valid(F.col("violations"))).count()
         found.unpersist()
