@@ -223,27 +223,43 @@ def test_leftovers_of_a_failed_compaction_do_not_count(spark, tmp_path):
 # ---- 5 language model ----------------------------------------------------------------------------------------
 
 
-def brute_lm(docs, held=1, prior=30.0):
+def brute_lm(docs, held=1, prior=30.0, long_prior=0.5):
     tokens = {i: [w for w in (t or "").encode().lower().split()] + ["END"] for i, t in docs}
     train = [v for i, v in tokens.items() if zlib.crc32(str(i).encode()) % 5 != held]
     uni = collections.Counter(w for v in train for w in v)
     pairs = collections.Counter(p for v in train for p in zip(["START", *v[:-1]], v, strict=True))
+    longs = collections.Counter(tuple(v[k : k + 5]) for v in train for k in range(len(v) - 4))
+    contexts = collections.Counter()
+    for g, c in longs.items():
+        contexts[g[:4]] += c
     n, v = sum(uni.values()), len(uni)
     p = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
     out = {}
     for i, t in tokens.items():
         score = 0.0
-        for h, w in zip(["START", *t[:-1]], t, strict=True):
+        for k, (h, w) in enumerate(zip(["START", *t[:-1]], t, strict=True)):
             c = len(train) if h == "START" else uni[h]
-            score += np.log10((pairs[h, w] + prior * p(w)) / (c + prior))
+            chance = (pairs[h, w] + prior * p(w)) / (c + prior)
+            if k >= 4:
+                chance = (longs[tuple(t[k - 4 : k + 1])] + long_prior * chance) / (contexts[tuple(t[k - 4 : k])] + long_prior)
+            score += np.log10(chance)
         out[i] = (len(t), sum(uni[w] > 0 for w in t), n, sum(np.log10(p(w)) for w in t), score)
     return out
 
 
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(4)
+    for values in ([], [0], [255], [256, 2**63], rng.integers(0, 255, 1000), np.r_[rng.integers(0, 90, 999), 2**40], rng.integers(0, 2**24, 500), 2 ** rng.integers(0, 63, 300)):
+        values = np.asarray(values, np.uint64)
+        assert (lm_score._large(lm_score._small(values)) == values).all()
+    keys = np.unique(rng.integers(0, 2**63, 500).astype(np.uint64))
+    assert (lm_score._keys(lm_score._deltas(keys)) == keys).all()
+
+
 def test_language_model_against_brute_force(spark):
     rng = random.Random(4)
-    docs = [(i, " ".join(rng.choice("the a of cat Dog ß runs".split()) for _ in range(rng.randrange(25)))) for i in range(60)] + [(99, None), (100, "\n unseen words here")]
-    got = {r.doc_id: r for r in lm_score.score(frame(spark, docs), shard_bytes=200).collect()}
+    docs = [(i, " ".join(rng.choice("the a of cat Dog ß runs".split()) for _ in range(rng.randrange(40)))) for i in range(80)] + [(99, None), (100, "\n unseen words here"), (101, "w1 w2 w3 w4 w5 w6 w7"), (102, "w1 w2 w3 w4 w5 w6 w8")]
+    got = {r.doc_id: r for r in lm_score.score(frame(spark, docs), shard_bytes=200, block_bytes=300).collect()}
     want = brute_lm(docs)
     for i, (n, known, total, base, score) in want.items():
         r = got[i]
@@ -251,6 +267,17 @@ def test_language_model_against_brute_force(spark):
         assert r.base_score == pytest.approx(base, abs=1e-9) and r.score == pytest.approx(score, abs=1e-9)
 
 
+def test_chances_after_every_state_sum_to_one():
+    """Over all known words and the one unknown word that the model provides for."""
+    words_ = np.array([40, 25, 10, 5, 0])
+    machine = lm_score.BackoffAutomaton(words_, int(words_.sum()), 4, 7, 30.0)
+    machine.add_pairs(np.array([1, 1, 2, 3, machine.start]), np.array([1, 2, 0, 3, 0]), np.array([30, 10, 25, 10, 7]))
+    state = machine.add_contexts(np.array([9, 0, 3]), np.array([1, 0, 2]), np.array([0, 0, 2]), np.array([0, 3, 3]), np.array([5, 4, 3]), 0.5)
+    assert state.tolist() == [machine.start + 1, 0, machine.start + 2]
+    for s in range(1, machine.start + 3):
+        assert (10 ** machine.step(np.full(5, s), np.arange(5))).sum() == pytest.approx(1)
+
+
 def test_language_model_edges(spark):
     assert lm_score.score(mixed(spark)).count() == 8 and lm_score.score(mixed(spark).limit(0)).count() == 0
     assert lm_score.score(frame(spark, [(9, "x y")]).where("doc_id < 0")).count() == 0
