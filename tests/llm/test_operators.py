@@ -271,7 +271,7 @@ def test_chances_after_every_state_sum_to_one():
     """Over all known words and the one unknown word that the model provides for."""
     words_ = np.array([40, 25, 10, 5, 0])
     machine = lm_score.BackoffAutomaton(words_, int(words_.sum()), 4, 7, 30.0)
-    machine.add_pairs(np.array([1, 1, 2, 3, machine.start]), np.array([1, 2, 0, 3, 0]), np.array([30, 10, 25, 10, 7]))
+    machine.add_pairs(np.array([1, 1, 2, 3, 4, machine.start]), np.array([1, 2, 0, 3, 0, 0]), np.array([30, 10, 25, 10, 5, 7]))
     state = machine.add_contexts(np.array([9, 0, 3]), np.array([1, 0, 2]), np.array([0, 0, 2]), np.array([0, 3, 3]), np.array([5, 4, 3]), 0.5)
     assert state.tolist() == [machine.start + 1, 0, machine.start + 2]
     for s in range(1, machine.start + 3):
