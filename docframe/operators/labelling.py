@@ -50,7 +50,7 @@ def with_label(raw: Column, level: Column, number: Column) -> Column:
     """A record's JSON text with its level and number replaced; all else as it is, in its order."""
 
     def put(text: Column, name: str, value: Column) -> Column:
-        found = rf'("{name}"\s*:\s*)(?:null|-?[0-9.]+|"(?:[^"\\\\]|\\\\.)*")'
+        found = rf'("{name}"\s*:\s*)(?:null|-?[0-9.]+|"(?:[^"\\]|\\.)*")'
         told = F.coalesce(F.to_json(F.array(value), {"ignoreNullFields": "false"}).substr(F.lit(2), F.length(F.to_json(F.array(value))) - 2), F.lit("null"))
         added = F.regexp_replace(text, r"\s*\}\s*$", F.concat(F.lit(f',"{name}":'), told, F.lit("}")))
         return F.when(text.rlike(found), F.regexp_replace(text, F.lit(found), F.concat(F.lit("$1"), told))).otherwise(added)

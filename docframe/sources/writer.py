@@ -54,12 +54,21 @@ def compound(stream: bytes, name: str = "Equation Native") -> bytes:
 
 
 def equation(nodes: list, key: str = "DSMT6") -> bytes:
-    """The equation stream of an expression tree of characters, fractions, roots, scripts and round fences."""
+    """The equation stream of an expression tree of characters, fractions, roots, scripts, round fences, rows of a pile
+    ("lines"), matrices, and any template by its number ("template", selector, variation, slots...)."""
 
     def record(node) -> bytes:
         if isinstance(node, str):
             return struct.pack("<BBBH", 2, 0, 0x83, ord(node))
         kind, *parts = node
+        if kind == "lines":
+            return bytes([4, 0, 0, 0]) + b"".join(line(r) for r in parts[0]) + b"\0"
+        if kind == "matrix":
+            rows, columns = len(parts[0]), len(parts[0][0])
+            rules = bytes((2 * (rows + 1) + 7) // 8) + bytes((2 * (columns + 1) + 7) // 8)
+            return bytes([5, 0, 0, 0, 0, rows, columns]) + rules + b"".join(line(c) for r in parts[0] for c in r) + b"\0"
+        if kind == "template":
+            return bytes([3, 0, parts[0], parts[1], 0]) + b"".join(line(p) for p in parts[2:]) + b"\0"
         selector = {"frac": 11, "root": 10, "script": 29, "fence": 1}[kind]
         return bytes([3, 0, selector, 3 if kind == "fence" else 0, 0]) + b"".join(line(p) for p in parts) + b"\0"
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from docframe.plans import catalog, package_queries  # noqa: F401
+from docframe.plans import catalog, package_queries, source_queries  # noqa: F401
 from docframe.plans.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
