@@ -4,7 +4,7 @@ A document is the mean of the learned vectors of its features: every word, every
 and every run of 3 or 4 bytes inside a word, hashed to a table of 2**18 rows; neighbours that are one word
 twice share a row. A softmax over two classes reads the mean. Trained by stochastic gradient descent in numpy
 on a bounded sample (sample_per_class labelled rows of each class) in one executor task; every whole text is
-scored, a few megabytes of texts (or one longer text) at a time: memory is some 100 bytes for each byte of them.
+scored, a megabyte of texts (or one longer text) at a time: memory is some 60 bytes for each byte of them.
 
 As the output is linear in the mean, a row's part in it is one number, so scoring gathers one number for each
 feature. Defined results: null and empty texts have no feature and get the score of the bias alone; repeated
@@ -13,6 +13,8 @@ rows score alike; without labels every score is 0.5; labels, lang, source and do
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,32 +27,36 @@ TABLE_BITS = 18
 _SAME = np.uint64(12_345)
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of all features of all texts, each text's together, and the texts' offsets in them."""
+def feature_lists(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each kind of feature the table rows of all texts' features and the texts they are of, in order."""
     data, offsets = text_buffer(column)
-    n = len(offsets) - 1
+    n, shift = len(offsets) - 1, np.uint64(64 - TABLE_BITS)
     starts, ends, rows = word_bounds(data, offsets)
     word = hash_spans(data, starts, ends)
-    doc = np.repeat(np.arange(n), np.diff(rows))
-    pair = np.where(word[1:] == word[:-1], _SAME, mix(word[1:] * np.uint64(3) + word[:-1]))
+    doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(rows))
+    yield (word >> shift).astype(np.int32), doc
     keep = doc[1:] == doc[:-1]
-    found, owner = [word, pair[keep]], [doc, doc[1:][keep]]
+    pair = np.where(word[1:] == word[:-1], _SAME, mix(word[1:] * np.uint64(3) + word[:-1]))[keep]
+    yield (pair >> shift).astype(np.int32), doc[1:][keep]
+    del word, pair
     space = IS_SPACE[data]
-    at = np.arange(len(data))
     owner_of_byte = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
     for width in (3, 4):
         if len(data) < width:
             continue
-        fits = np.ones(len(data) - width + 1, bool)
+        fits = owner_of_byte[: len(data) - width + 1] == owner_of_byte[width - 1 :]
         for k in range(width):
             fits &= ~space[k : len(data) - width + 1 + k]
-        fits &= owner_of_byte[: len(fits)] == owner_of_byte[width - 1 :]
-        begin = at[: len(fits)][fits]
-        found.append(hash_spans(data, begin, begin + width))
-        owner.append(owner_of_byte[begin])
-    every, whose = np.concatenate(found) >> np.uint64(64 - TABLE_BITS), np.concatenate(owner)
+        begin = np.flatnonzero(fits)
+        yield (hash_spans(data, begin, begin + width) >> shift).astype(np.int32), owner_of_byte[begin]
+
+
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of all features of all texts, each text's together, and the texts' offsets in them."""
+    found, owners = zip(*feature_lists(column), strict=True)
+    whose = np.concatenate(owners)
     order = np.argsort(whose, kind="stable")
-    return every[order].astype(np.int64), np.searchsorted(whose[order], np.arange(n + 1))
+    return np.concatenate(found)[order], np.searchsorted(whose[order], np.arange(len(column) + 1))
 
 
 def train(texts: list[str], labels: list[int], dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 10) -> tuple[np.ndarray, float]:
@@ -63,7 +69,7 @@ def train(texts: list[str], labels: list[int], dim: int = 16, epochs: int = 6, r
         rows, offsets = features(part.column(0))
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             which, times = np.unique(rows[a:b], return_counts=True)
-            bags.append((which.astype(np.int32), (times / max(b - a, 1)).astype(np.float32)))
+            bags.append((which, (times / max(b - a, 1)).astype(np.float32)))
     steps, done = epochs * len(bags), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
@@ -90,11 +96,12 @@ def _packed(texts: list[str], labels: list[int]) -> bytes:
 
 
 def score_texts(column: pa.Array, parts: np.ndarray, bias: float) -> np.ndarray:
-    rows, offsets = features(column)
-    sums = np.concatenate([[0.0], np.cumsum(parts[rows], dtype=np.float64)])
-    size = np.diff(offsets)
-    z = bias + (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(size, 1)
-    return 1 / (1 + np.exp(-z))
+    n = len(column)
+    sums, size = np.zeros(n), np.zeros(n)
+    for rows, owner in feature_lists(column):
+        sums += np.bincount(owner, weights=parts[rows], minlength=n)
+        size += np.bincount(owner, minlength=n)
+    return 1 / (1 + np.exp(-bias - sums / np.maximum(size, 1)))
 
 
 class QualityModel:
@@ -116,7 +123,7 @@ class QualityModel:
         parts, bias = self.parts, self.bias
 
         def run(batches):
-            for batch in slices(batches, most=1 << 21):
+            for batch in slices(batches, most=1 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_texts(batch.column(1), parts, bias))], ["doc_id", "score"])
 
         narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -127,7 +134,7 @@ class QualityModel:
         parts, bias, place = self.parts, self.bias, docs.columns.index("text")
 
         def run(batches):
-            for batch in slices(batches, most=1 << 21):
+            for batch in slices(batches, most=1 << 20):
                 yield batch.filter(pa.array(score_texts(batch.column(place), parts, bias) >= threshold))
 
         return docs.mapInArrow(run, docs.schema)
