@@ -211,8 +211,8 @@ def _questions(spark, sf_dir) -> DataFrame:
 ASKED = """a AS (SELECT *, (conv_id + turn) % 9 AS k, md5(text) AS m, last_value(CASE WHEN role = 'system' THEN 1 + turn % 3 END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS num FROM conversations),
   q AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS q_order FROM a WHERE role <> 'system'),
   e AS (SELECT *, CASE k WHEN 6 THEN 'fill-answer' WHEN 7 THEN 'essay' WHEN 8 THEN 'true-false-group' ELSE 'single-choice' END AS type,
-    CASE k WHEN 0 THEN ['a' || turn, 'b' || turn, 'c' || turn, 'd' || turn] WHEN 1 THEN ['<b>p</b>q ', '<b>r</b>s'] WHEN 2 THEN ['x', '<u>y</u>', 'z'] WHEN 3 THEN ['x', 'y', 'z'] WHEN 4 THEN ['x', 'y']
-      WHEN 5 THEN ['một ', '<b>hai</b>'] WHEN 8 THEN ['a) x', 'b) y'] ELSE [] END AS c,
+    CASE k WHEN 0 THEN ['a' || turn, 'b' || turn, 'c' || turn, 'd' || turn] WHEN 1 THEN ['pq ', 'rs'] WHEN 2 THEN ['x', 'y', 'z'] WHEN 3 THEN ['x', 'y', 'z'] WHEN 4 THEN ['x', 'y']
+      WHEN 5 THEN ['một ', 'hai'] WHEN 8 THEN ['a) x', 'b) y'] ELSE [] END AS c,
     CASE k WHEN 0 THEN '[2]' WHEN 1 THEN '[1]' WHEN 2 THEN '[2]' WHEN 3 THEN '[1]' WHEN 6 THEN '[["một","hai"]]' WHEN 8 THEN '[{"id":1,"value":"true"},{"id":2,"value":"false"}]' END AS answer,
     CASE k WHEN 0 THEN 'B' WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'A' WHEN 8 THEN 'A,B' ELSE '' END AS letters,
     CASE k WHEN 0 THEN 'text:đáp_án' WHEN 1 THEN 'text:chọn' WHEN 2 THEN 'format:underline' WHEN 3 THEN 'format:color' WHEN 6 THEN 'unrecognized_tail_format' WHEN 7 THEN 'essay_no_answer_letter'

@@ -226,8 +226,8 @@ def equation_words(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT c_custkey AS k, c_nationkey AS nation, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer),
-  h AS (SELECT nation, i, i % 8 = 3 OR i % 8 = 4 AS bullet, CASE i % 8 WHEN 0 THEN '<i>“trích ' || k || '”</i>' WHEN 1 THEN '<p><b>Chú ý:</b> số ' || k || '</p>' WHEN 2 THEN '<h4>1. Về số</h4><p>' || k || '</p>' WHEN 3 THEN '<li>ý ' || k || '</li>' WHEN 4 THEN '<li><b>ý</b> ' || k || '</li>'
-      WHEN 5 THEN '<table><tr><td>' || k || '</td><td><ul><li>a</li><li>b</li></ul></td></tr></table>' WHEN 6 THEN '<p>tia \\(Ox\\) &amp; <u>' || k || '</u></p>' ELSE '<p>số <span class="math">\\(' || k || '\\)</span> ở</p>' END AS html FROM c),
+  h AS (SELECT nation, i, i % 8 = 3 OR i % 8 = 4 AS bullet, CASE i % 8 WHEN 0 THEN '<i>“trích ' || k || '”</i>' WHEN 1 THEN '<p><b>Chú ý:</b> số ' || k || '</p>' WHEN 2 THEN '<h4>1. Về số</h4><p>' || k || '</p>' WHEN 3 THEN '<li>ý ' || k || '</li>' WHEN 4 THEN '<li>ý ' || k || '</li>'
+      WHEN 5 THEN '<table><tr><td>' || k || '</td><td><ul><li>a</li><li>b</li></ul></td></tr></table>' WHEN 6 THEN '<p>tia \\(Ox\\) &amp; ' || k || '</p>' ELSE '<p>số <span class="math">\\(' || k || '\\)</span> ở</p>' END AS html FROM c),
   r AS (SELECT *, sum((NOT bullet OR i % 8 = 3)::INT) OVER (PARTITION BY nation ORDER BY i) AS run FROM h)
   SELECT nation::BIGINT AS nation, min(i) AS place, CASE WHEN bool_or(bullet) THEN '<ul>' || string_agg(html, '' ORDER BY i) || '</ul>' ELSE max(html) END AS html FROM r GROUP BY nation, run""")
 def rendered_blocks(spark, sf_dir):

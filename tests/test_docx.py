@@ -105,7 +105,7 @@ def test_theory_sections_and_page(spark, parsed):
     assert sections == [("1", "Định nghĩa", 2, "1", "definition"), ("2", "Ví dụ", 2, "2", "example"), ("3", "PEPTIDE", 1, "B", "concept")]
     html = lessons.pages(parsed).collect()[0].html
     assert "<ul><li>một</li><li>hai</li></ul>" in html and r'<span class="math">\(x\)</span>' in html and "data:image/png;base64," in html
-    assert "<b>f</b>" in html and "<table><tr><td>ô</td></tr></table>" in html
+    assert "Hàm số f" in html and "<table><tr><td>ô</td></tr></table>" in html
 
 
 def test_questions(parsed):
