@@ -27,6 +27,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ START = np.uint64(0x1B873593CC9E2D51)
 LONG, _NEXT = 4, np.uint64(15)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and each key's place among them."""
+    order = np.argsort(keys, kind="stable").astype(np.int32)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], place
+
+
 class ShardTokens:
     """Token hashes of a shard's texts, each text's words and then END, with their distinct n-grams in order. bits: of
     the hashes of pairs and contexts."""
@@ -55,11 +67,12 @@ class ShardTokens:
         tokens[last] = END
         size = np.diff(self.rows)
         self.train = np.repeat(train, size)
-        self.words, self.word_of = np.unique(tokens, return_inverse=True)
+        self.words, self.word_of = _distinct(tokens)
         before = np.empty(len(tokens), np.uint64)
         before[1:] = tokens[:-1]
         before[self.rows[:-1]] = START
-        self.pairs, self.pair_of = np.unique(mix(before * np.uint64(0x9DDFEA08EB382D69) + (tokens ^ (tokens >> np.uint64(29)))) >> cut, return_inverse=True)
+        self.pairs, self.pair_of = _distinct(mix(before * np.uint64(0x9DDFEA08EB382D69) + (tokens ^ (tokens >> np.uint64(29)))) >> cut)
+        del before
         # Positions that have a context of four words, and the n-gram there: the context's hash, then some bits of the word.
         at = np.arange(len(tokens)) - np.repeat(self.rows[:-1], size)
         self.deep = np.flatnonzero(at >= LONG)
@@ -67,7 +80,7 @@ class ShardTokens:
         for k in range(LONG, 0, -1):
             context = mix(context * np.uint64(3) + tokens[self.deep - k])
         follows = mix(tokens[self.deep] + np.uint64(0x51ED27)) >> (np.uint64(64) - _NEXT)
-        self.longs, self.long_of = np.unique(((context >> cut) << _NEXT) | follows, return_inverse=True)
+        self.longs, self.long_of = _distinct(((context >> cut) << _NEXT) | follows)
         parts = self.longs >> _NEXT
         opens = np.ones(len(parts), bool)
         opens[1:] = parts[1:] != parts[:-1]
@@ -112,6 +125,15 @@ def _large(blob: bytes) -> np.ndarray:
     return out
 
 
+def _counts(values: np.ndarray) -> bytes:
+    """Counts, most of them small, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(_small(values))
+
+
+def _counted(blob: bytes) -> np.ndarray:
+    return _large(zstandard.ZstdDecompressor().decompress(blob))
+
+
 def _deltas(keys: np.ndarray) -> bytes:
     return _small(np.diff(keys, prepend=np.uint64(0)))
 
@@ -142,8 +164,8 @@ def _ask(blocks: int, bits: int):
         longs = (own.longs & np.uint64((1 << int(_NEXT)) - 1)) | (opens << _NEXT)
         out = [
             (
-                b, shard, _deltas(own.words[w[b] : w[b + 1]]), _small(word_counts[w[b] : w[b + 1]]), _deltas(own.pairs[p[b] : p[b + 1]]), _small(pair_counts[p[b] : p[b + 1]]),
-                _deltas(own.contexts[c[b] : c[b + 1]]), longs[g[b] : g[b + 1]].astype("<u2").tobytes(), _small(long_counts[g[b] : g[b + 1]]),
+                b, shard, _deltas(own.words[w[b] : w[b + 1]]), _counts(word_counts[w[b] : w[b + 1]]), _deltas(own.pairs[p[b] : p[b + 1]]), _counts(pair_counts[p[b] : p[b + 1]]),
+                _deltas(own.contexts[c[b] : c[b + 1]]), longs[g[b] : g[b + 1]].astype("<u2").tobytes(), _counts(long_counts[g[b] : g[b + 1]]),
             )
             for b in range(blocks)
         ]
@@ -155,7 +177,7 @@ def _ask(blocks: int, bits: int):
 def _summed(lists: list[np.ndarray], counts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     """Each list's keys' counts over all lists, in its order, and the counts of all distinct keys."""
     _, place = np.unique(np.concatenate(lists), return_inverse=True)
-    sums = np.bincount(place, weights=np.concatenate([_large(x) for x in counts])).astype(np.int64)
+    sums = np.bincount(place, weights=np.concatenate([_counted(x) for x in counts])).astype(np.int64)
     return np.split(sums[place], np.cumsum([len(x) for x in lists])[:-1]), sums
 
 
@@ -175,14 +197,14 @@ def _answer(table: pa.Table) -> pa.Table:
     long_lists, _ = _summed(longs, of("long_counts"))
     # A context's count is the sum of its n-grams' in all shards.
     every = np.concatenate(longs)
-    counts = np.concatenate([_large(x) for x in of("long_counts")]).astype(np.int64)
+    counts = np.concatenate([_counted(x) for x in of("long_counts")]).astype(np.int64)
     _, place = np.unique(every >> _NEXT, return_inverse=True)
     totals = np.bincount(place, weights=counts).astype(np.int64)
     starts = np.cumsum([0, *[len(x) for x in longs]])
     context_lists = [totals[place[start + e]] for start, e in zip(starts[:-1], ends, strict=True)]
     first = [i == 0 for i in range(len(shards))]
     rows = [
-        (s, block, _small(w), _small(p), _small(c), _small(g), int(word_sums.sum()) * f, int((word_sums > 0).sum()) * f)
+        (s, block, _counts(w), _counts(p), _counts(c), _counts(g), int(word_sums.sum()) * f, int((word_sums > 0).sum()) * f)
         for s, w, p, c, g, f in zip(shards, word_lists, pair_lists, context_lists, long_lists, first, strict=True)
     ]
     return _table(rows, ANSWER)
@@ -204,7 +226,7 @@ class BackoffAutomaton:
         self.keys, self.weight = np.zeros(0, np.int64), np.zeros(0)
 
     def _arcs(self, state: np.ndarray, word: np.ndarray, weight: np.ndarray) -> None:
-        keys = np.concatenate([self.keys, state * self.n + word])
+        keys = np.concatenate([self.keys, state.astype(np.int64) * self.n + word])
         order = np.argsort(keys, kind="stable")
         self.keys, self.weight = keys[order], np.concatenate([self.weight, weight])[order]
 
@@ -224,7 +246,7 @@ class BackoffAutomaton:
         return state
 
     def _found(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        wanted = state * self.n + word
+        wanted = state.astype(np.int64) * self.n + word
         place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return (self.keys[place] == wanted) & (state > 0), self.weight[place]
 
@@ -270,7 +292,7 @@ def _score(total: int, known: int, prior: float, long_prior: float, bits: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         own = ShardTokens(docs.column("text"), np.asarray(docs.column("train")).astype(bool), bits)
         order = np.argsort(np.asarray(answers.column("block")))
-        of = lambda c: np.concatenate([_large(answers.column(c)[int(i)].as_py()) for i in order]).astype(np.int64)
+        of = lambda c: np.concatenate([_counted(answers.column(c)[int(i)].as_py()) for i in order]).astype(np.int64)
         word_counts, pair_counts, context_counts, long_counts = map(of, ("word_counts", "pair_counts", "context_counts", "long_counts"))
         first = np.zeros(len(own.word_of), bool)
         first[own.rows[:-1]] = True
@@ -304,7 +326,7 @@ def _score(total: int, known: int, prior: float, long_prior: float, bits: int):
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, held_fold: int = 1, folds: int = 5, shard_bytes: int = 1 << 23, block_bytes: int = 1 << 25, prior: float = 30.0, long_prior: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, held_fold: int = 1, folds: int = 5, shard_bytes: int = 1 << 22, block_bytes: int = 1 << 25, prior: float = 30.0, long_prior: float = 0.5) -> DataFrame:
     """Scores of every row of docs under the model learned from the rows outside fold held_fold."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
