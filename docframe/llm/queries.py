@@ -97,7 +97,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
+# The rules of op1 as patterns of the other engine, in the order in which equal starts are listed, and what a match
+# (v) must fulfil.
+_SECRETS = (
+    ("assign", """(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", "length(regexp_extract(v, '{re}', 1)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(v) >= 20"), ("hex", "[0-9a-f]+", "length(v) >= 24"), ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "TRUE"),
+    ("git_token", "gh[opsu]_[A-Za-z0-9]+", "length(v) >= 40"), ("web_token", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", "length(v) >= 40"),
+)
+_MATCHES = " UNION ALL ".join(
+    f"SELECT * FROM (SELECT doc_id, {i} AS rule, '{kind}' AS kind, unnest(m) AS v, unnest(list_transform(range(1, len(m) + 1), lambda i: length(array_to_string(p[1:i], '')) + length(array_to_string(m[1:i-1], '')))) AS s "
+    f"FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS p FROM d)) WHERE {test.replace('{re}', pattern)}"
+    for i, (kind, pattern, test) in enumerate(_SECRETS)
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), x AS ({_MATCHES}),
+        g AS (SELECT doc_id, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access, count(*) FILTER (rule = 2) AS n_hex,
+                     string_agg(kind || ':' || s || ':' || (s + length(v)), ',' ORDER BY s, rule) FILTER (rule < 3) AS base, string_agg(kind || ':' || s || ':' || (s + length(v)), ',' ORDER BY s, rule) AS spans FROM x GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+    """,
+    "op6_minhash": """
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END)) AS items FROM w),
+        c AS (SELECT doc_id, items, min(doc_id) OVER (PARTITION BY items) AS first_id FROM s),
+        u AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM c WHERE doc_id = first_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS total, count(*) AS common FROM u a JOIN u b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p WHERE 100 * common >= 80 * (total - common) UNION SELECT b, a FROM p WHERE 100 * common >= 80 * (total - common)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM c WHERE doc_id = first_id UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+        SELECT doc_id, len(items)::BIGINT AS n_shingles, CASE WHEN len(items) = 0 THEN doc_id ELSE component_id END AS component_id, CASE WHEN len(items) = 0 THEN TRUE ELSE doc_id = component_id END AS kept FROM c JOIN m ON a = first_id
+    """,
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
