@@ -152,10 +152,27 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows, strict=True), types, strict=True)], list(names))
 
 
+def _pressed(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, train, shard, text) with each text compressed, as all texts move once."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = pa.array([press.compress(t.encode()) for t in batch.column(3).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], ["doc_id", "train", "shard", "text"])
+
+    return rows.select("doc_id", "train", "shard", "text").mapInArrow(run, "doc_id long, train boolean, shard int, text binary")
+
+
+def _texts(column: pa.ChunkedArray) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor()
+    return pa.array([unpack.decompress(t) for t in column.to_pylist()], pa.large_binary())
+
+
 def _ask(blocks: int, bits: int):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        own = ShardTokens(table.column("text"), np.asarray(table.column("train")).astype(bool), bits)
+        own = ShardTokens(_texts(table.column("text")), np.asarray(table.column("train")).astype(bool), bits)
         word_counts, pair_counts, long_counts = own.counts()
         w, p, c = _blocks(own.words, 64, blocks), _blocks(own.pairs, bits, blocks), _blocks(own.contexts, bits, blocks)
         g = np.searchsorted(own.context_of_long, c)
@@ -290,7 +307,7 @@ class BackoffAutomaton:
 
 def _score(total: int, known: int, prior: float, long_prior: float, bits: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        own = ShardTokens(docs.column("text"), np.asarray(docs.column("train")).astype(bool), bits)
+        own = ShardTokens(_texts(docs.column("text")), np.asarray(docs.column("train")).astype(bool), bits)
         order = np.argsort(np.asarray(answers.column("block")))
         of = lambda c: np.concatenate([_counted(answers.column(c)[int(i)].as_py()) for i in order]).astype(np.int64)
         word_counts, pair_counts, context_counts, long_counts = map(of, ("word_counts", "pair_counts", "context_counts", "long_counts"))
@@ -335,6 +352,7 @@ def score(docs: DataFrame, held_fold: int = 1, folds: int = 5, shard_bytes: int
     shards, blocks, bits = max(math.ceil(size / shard_bytes), least), max(math.ceil(size / block_bytes), least), min(48, max(40, size.bit_length() + 8))
     dealt = texts.withColumn("train", fold_of(F.col("doc_id"), folds) != held_fold)
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
+    dealt = _pressed(dealt)
     asked = dealt.groupBy("shard").applyInArrow(_ask(blocks, bits), ASK)
     answers = cut(asked.groupBy("block").applyInArrow(_answer, ANSWER), "ngram-counts")
     total, known = answers.agg(F.sum("tokens"), F.sum("known")).first()
