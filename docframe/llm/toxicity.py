@@ -201,7 +201,7 @@ def _index(word_of: np.ndarray, first: np.ndarray) -> np.ndarray:
     return word_of[np.minimum(first[:, None] + np.arange(WINDOW), max(len(word_of) - 1, 0))] if len(word_of) else np.zeros((len(first), WINDOW), np.int64)
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 5, steps: int = 50, batch: int = 192, rate: float = 0.01, keep_words: float = 0.5, seed: int = 2) -> dict[str, np.ndarray]:
+def train(texts: list[str], labels: list[int], rounds: int = 8, steps: int = 50, batch: int = 192, rate: float = 0.01, keep_words: float = 0.5, seed: int = 2) -> dict[str, np.ndarray]:
     """The parameters after rounds x steps Adam steps, a number that does not depend on the data's size."""
     rng = np.random.default_rng(seed)
     p = fresh(seed)

@@ -615,6 +615,51 @@ def test_quality(spark):
     assert (quality.score_texts(pa.array(["good text", "bad %%", None, ""]), parts, bias)[:2] > 0.5).tolist() == [True, False]
 
 
+def test_toxicity_scores_against_plain_loops():
+    """The score of a text written out word by word: input vectors, both recurrences, attention, the highest window."""
+    p = {k: v.astype(np.float64) for k, v in toxicity.fresh(5).items()}
+    p["word"] *= 8
+    p["bias"][0] = 0.2
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["a", "Bb", "ccc", "ééé", "longer-word", "x1"]) for _ in range(n)) for n in (0, 1, 5, 64, 65, 150)]
+    shift = 64 - toxicity.TABLE_BITS
+
+    def row(data, extra=0):
+        h = words.hash_spans(np.frombuffer(data, np.uint8), np.array([0]), np.array([len(data)]))
+        return int(words.mix(h + np.uint64(extra))[0]) >> shift
+
+    def vector(word):
+        runs = []
+        for width in (3, 4):
+            for i in range(max(len(word) - width, 0) + 1):
+                run = word[i : i + width]
+                mark = (i == 0) + 2 * (i + len(run) == len(word))
+                runs += [row(run)] + [row(run, mark)] * (mark > 0)
+        return p["word"][row(word)] + np.mean([p["char"][r] for r in runs], axis=0)
+
+    def side(name, xs):
+        size, h, out = toxicity.HIDDEN, np.zeros(toxicity.HIDDEN), []
+        for x in xs if name == "f" else xs[::-1]:
+            a, u = x @ p[f"w{name}"] + p[f"c{name}"], p[f"u{name}"]
+            z, r = (1 / (1 + np.exp(-(a[k * size : (k + 1) * size] + h @ u[:, k * size : (k + 1) * size]))) for k in (0, 1))
+            c = np.tanh(a[2 * size :] + (r * h) @ u[:, 2 * size :])
+            h = (1 - z) * h + z * c
+            out.append(h)
+        return out if name == "f" else out[::-1]
+
+    want = []
+    for t in texts:
+        said, best = t.lower().encode().split(), -np.inf
+        for first in range(0, max(len(said) - toxicity.WINDOW, 0) + toxicity.STRIDE, toxicity.STRIDE):
+            xs = [vector(w) for w in said[first : first + toxicity.WINDOW]]
+            states = [np.r_[f, b] for f, b in zip(side("f", xs), side("b", xs), strict=True)]
+            weight = np.exp([s @ p["attend"] for s in states])
+            pooled = sum(w * s for w, s in zip(weight / weight.sum(), states, strict=True)) if states else np.zeros(2 * toxicity.HIDDEN)
+            best = max(best, pooled @ p["out"] + p["bias"][0])
+        want.append(1 / (1 + np.exp(-best)))
+    assert toxicity.score_texts(pa.array(texts), p) == pytest.approx(want, abs=1e-5)
+
+
 def test_toxicity_gradients():
     """The written-out backward pass against differences of the forward pass."""
     p = {k: v.astype(np.float64) for k, v in toxicity.fresh(3).items()}
