@@ -18,6 +18,7 @@ def arguments(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("-o", "--out", help="folder to write to")
     parser.add_argument("-j", "--jobs", type=int, help="tasks that read packages at once")
     parser.add_argument("--work", help="folder for finished stages, which a run that was stopped goes on from")
+    parser.add_argument("--images", help="theory, lessons: folder for the packages' images as files of their own")
     parser.add_argument("--structured", action="store_true", help="questions: a folder for each file, as below the inputs")
     parser.add_argument("--inplace", action="store_true", help="label: write each record over its own file")
     parser.add_argument("--limit", type=int, help="label: only the first records by path")
@@ -108,6 +109,8 @@ def main(args: list[str] | None = None) -> int:
         sinks.write_named(found, given.out, "name", "json").count()
         bad += found.where(~schema.valid(F.col("violations"))).count()
         found.unpersist()
+    if given.images:
+        sinks.side_files(docx.assets(parsed), given.images).count()
     parsed.unpersist()
     return int(bad > 0)
 

@@ -27,7 +27,7 @@ def _bare_letters() -> tuple[str, str]:
 def fold(text: Column) -> Column:
     """Lower case without accents, white space squeezed and trimmed: the key for all marker comparisons."""
     bare = F.regexp_replace(F.translate(text, *_bare_letters()), r"\p{Mn}", "")
-    return F.lower(F.trim(F.regexp_replace(bare, r"(?U)\s+", " ")))
+    return F.lower(strip(F.regexp_replace(bare, r"(?U)\s+", " ")))
 
 
 def fold_plain(text: Column) -> Column:
@@ -44,9 +44,13 @@ def file_slug(name: Column) -> Column:
     return F.replace(F.lower(name), F.lit(" "), F.lit("-"))
 
 
+#: Characters that count as white space.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    """Python's str.strip()."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space at either end; looks at the ends only."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def squeeze(text: Column) -> Column:

@@ -32,6 +32,16 @@ def bounds(blocks: DataFrame, start: Column, end: Column, key: str = "doc_id", i
     return out.withColumn("flags", F.array_join(flags, ","))
 
 
+def sliced(blocks: DataFrame, start: Column, end: Column, part: str, key: str = "doc_id", idx: str = "block_idx") -> DataFrame:
+    """between of bounds in one exchange: each block learns its document's limits from a window and stays or goes."""
+    seen = Window.partitionBy(key)
+    marked = blocks.withColumn("_s", start).withColumn("_e", end & ~start)
+    marked = marked.withColumn("_first", F.min(F.when(F.col("_s"), F.col(idx))).over(seen))
+    marked = marked.withColumn("_last", F.min(F.when(F.col("_e") & (F.col(idx) > F.col("_first")), F.col(idx))).over(seen))
+    inside = (F.col(idx) > F.col("_first")) & (F.col("_last").isNull() | (F.col(idx) < F.col("_last")))
+    return marked.where(inside if part == "theory" else F.col(idx) > F.col("_last")).drop("_s", "_e", "_first", "_last")
+
+
 def between(blocks: DataFrame, limits: DataFrame, part: str, key: str = "doc_id", idx: str = "block_idx") -> DataFrame:
     """The blocks of the theory (after the start, before the end) or of the exercises (from the end on)."""
     met = blocks.join(limits.select(key, "first", "last"), key)
@@ -116,5 +126,9 @@ def with_intro(headings: DataFrame, blocks: DataFrame, filled: Column, key: str
 
 
 def dedup_first(rows: DataFrame, key: list[str], *order: str, name: str = "is_first") -> DataFrame:
-    """rows plus whether each is the first of its key; ties go by the order given."""
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) == 1)
+    """rows plus whether each is the first of its key by the order given, which must tell a key's rows apart. A key's first
+    row comes from partial minima, so a key that most rows share is no task's burden; nulls are a key too."""
+    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.min(F.struct(*order)).alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+    met = rows.join(first, same)
+    return met.withColumn(name, F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first", *[f"_k{i}" for i in range(len(key))])

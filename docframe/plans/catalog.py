@@ -148,12 +148,14 @@ def theory_bounds(spark, sf_dir):
 
 @query(f"WITH {BOUNDS} SELECT b.* FROM b JOIN lim USING (doc_id) WHERE block_idx > first AND (last IS NULL OR block_idx < last)")
 def theory_slice(spark, sf_dir):
-    return S.between(_lines(spark, sf_dir), _bounds(spark, sf_dir), "theory")
+    size = F.length("text")
+    return S.sliced(_lines(spark, sf_dir), size <= 40, size.between(41, 80), "theory")
 
 
 @query(f"WITH {BOUNDS} SELECT b.* FROM b JOIN lim USING (doc_id) WHERE block_idx > last")
 def exercise_slice(spark, sf_dir):
-    return S.between(_lines(spark, sf_dir), _bounds(spark, sf_dir), "exercise")
+    size = F.length("text")
+    return S.sliced(_lines(spark, sf_dir), size <= 40, size.between(41, 80), "exercise")
 
 
 @query(f"""WITH {LINES}, k AS (SELECT DISTINCT doc_id, ['alpha_upper', 'roman', 'arabic', 'alpha_lower', 'star', 'dash'][1 + length(text) % 6] AS kind, 1 + length(text) % 6 AS r FROM b)
@@ -300,12 +302,12 @@ def question_type(spark, sf_dir):
 # ---- assets, joins, lookups ----------------------------------------------------------------------------------
 
 
-@query("""WITH f AS (SELECT source, sha256(text) AS sha, min(doc_id) AS first_id, count(*) AS uses FROM documents GROUP BY ALL)
-  SELECT source, sha, first_id, uses, 'f' || row_number() OVER (PARTITION BY source ORDER BY first_id) AS aid FROM f""")
+@query(f"""WITH {LINES}, f AS (SELECT doc_id, sha256(text) AS sha, min(block_idx) AS first_idx, count(*) AS uses FROM b GROUP BY ALL)
+  SELECT doc_id, sha, first_idx, uses, 'f' || row_number() OVER (PARTITION BY doc_id ORDER BY first_idx) AS aid FROM f""")
 def asset_registry(spark, sf_dir):
-    sha = F.sha2(F.col("text").cast("binary"), 256)
-    seen = table(spark, sf_dir, "documents").groupBy("source", sha.alias("sha")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("uses"))
-    return seen.withColumn("aid", F.concat(F.lit("f"), F.row_number().over(Window.partitionBy("source").orderBy("first_id"))))
+    """The distinct parts of each document, numbered by first use."""
+    seen = _lines(spark, sf_dir).groupBy("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).agg(F.min("block_idx").alias("first_idx"), F.count("*").alias("uses"))
+    return seen.withColumn("aid", F.concat(F.lit("f"), F.row_number().over(Window.partitionBy("doc_id").orderBy("first_idx"))))
 
 
 @query("SELECT doc_id, n_chars, quality::BIGINT AS quality, CASE WHEN quality IS NULL THEN '' ELSE 'q' || quality END AS rendered FROM documents LEFT JOIN labels USING (doc_id)")
@@ -397,7 +399,9 @@ def artifact_counts(spark, sf_dir):
 
 @query("SELECT count(*) AS events, count(*) FILTER (event_type = 'error') AS errors, round(quantile_cont(value, 0.95), 6) AS p95 FROM events")
 def run_metrics(spark, sf_dir):
-    return table(spark, sf_dir, "events").agg(F.count("*").alias("events"), F.count_if(F.col("event_type") == "error").alias("errors"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    events = table(spark, sf_dir, "events")
+    p95 = quality.quantile(events, "value", 0.95)
+    return events.agg(F.count("*").alias("events"), F.count_if(F.col("event_type") == "error").alias("errors")).withColumn("p95", F.round(F.lit(p95).cast("double"), 6))
 
 
 TRUTH = """WITH k AS (SELECT item_id, text AS gt, CASE item_id % 4 WHEN 0 THEN text WHEN 1 THEN '\\left ' || replace(text, ' ', '  ') WHEN 2 THEN replace(text, 'the', '{the}') ELSE text || '\\neq x' END AS given FROM benchmark),

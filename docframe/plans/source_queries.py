@@ -312,3 +312,28 @@ def upsert_rows(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.concat(F.lit("A. "), "n_name").alias("a"))
     old = n.where("k > 4").withColumn("b", F.lit("OK"))
     return quality.upsert(old, n.where("k % 2 = 0").withColumn("b", F.lit("ERROR")), "k")
+
+
+@query("""WITH c AS (SELECT c_nationkey AS nation, 1 + c_custkey % 7 AS d, 2 * (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) + 1 AS ref FROM customer)
+  SELECT nation::BIGINT AS nation, ref::BIGINT AS ref, CASE WHEN d = 3 THEN '<code>\\frac{' || nation || '}{3}</code>' WHEN d = 5 THEN '<i>5</i>' ELSE '<i>\\frac{' || nation || '}{' || d || '}</i>' END AS html FROM c""")
+def typeset_formulas(spark, sf_dir):
+    """Formulas by a renderer that sees each distinct one once, some of them replaced by hand, some of which it refuses."""
+    from docframe.plans.package_queries import _with_parts
+
+    rows = _with_parts(table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), F.col("c_custkey").cast("long").alias("k")))
+    one = para(run("x", kind="image", data=F.col("image")), run("y", kind="equation", data=F.col("equation")))
+    packed = rows.groupBy("nation").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("p")))), lambda v: v["p"]).alias("paragraphs"))
+    found = docx.assets(docx.parse(writer.packages(packed.select(F.concat(F.lit("/in/"), "nation", F.lit(".docx")).alias("path"), "paragraphs"))))
+    by_hand = rows.where("1 + k % 7 = 5").select(F.sha2("equation", 256).alias("sha256"), F.lit("5").alias("latex")).distinct()
+    shown = render.typeset(docx.overridden(found, by_hand), lambda latex: [None if x.endswith("{3}") else f"<i>{x}</i>" for x in latex])
+    return shown.where("NOT startswith(html, '<img')").select(number_of("path").alias("nation"), F.col("ref").cast("long").alias("ref"), "html")
+
+
+@query("""SELECT n_nationkey::BIGINT AS k, '<h2>I. ' || n_name || '</h2>' || chr(10) || '<p>thân</p>' || chr(10) || '<ul>' || chr(10) || '<li>một</li>' || chr(10) || '<li>hai &amp; ba</li>' || chr(10) || '</ul>' || chr(10) || '<h4>a) ý</h4>' AS html FROM nation""")
+def crop_pages(spark, sf_dir):
+    """Pages of the other cropping mode, lists kept together."""
+    from docframe.plans import crop
+
+    body = F.array(F.lit("mở đầu"), F.lit("LÝ THUYẾT"), F.concat(F.lit("I. "), "n_name"), F.lit("thân"), F.lit("- một"), F.lit("• hai & ba"), F.lit("a) ý"), F.lit("B. BÀI TẬP"), F.lit("câu"))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.posexplode(body).alias("i", "text"))
+    return crop.outline_html(crop.outline(rows, "k", "i"), "k", "i")

@@ -61,3 +61,16 @@ def test_gates(spark):
     cases = [base, base | {"words": 10}, base | {"words": 10, "figures": 5}, base | {"resolved": 8}, base | {"sections": 0}, base | {"formulas": 0, "resolved": 0}]
     df = spark.createDataFrame([(i, *c.values()) for i, c in enumerate(cases)], ["id", *base])
     assert [r.status for r in quality.gates(df).orderBy("id").collect()] == ["PASS", "FAIL", "WARN", "WARN", "FAIL", "PASS"]
+
+
+def test_quantile_of_any_spread(spark):
+    import numpy as np
+
+    from docframe.operators.quality import quantile
+
+    rng = np.random.default_rng(3)
+    for values in (rng.random(5000), np.r_[np.zeros(4000), rng.random(1000)], np.full(900, 7.0), np.arange(3.0), np.array([2.5])):
+        rows = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        for q in (0.0, 0.5, 0.95, 1.0):
+            assert abs(quantile(rows, "v", q, 100) - np.quantile(values, q)) < 1e-12
+    assert quantile(spark.createDataFrame([], "v double"), "v", 0.5) is None
