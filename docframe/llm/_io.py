@@ -28,8 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dir[0]}"
 
 
+_written: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove the tables and archives that this process has written to the shared folder; how many there were. For after
+    the results that were made from them are written; indexes and archives at paths of the caller's stay."""
+    for path in _written:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    n = len(_written)
+    _written.clear()
+    return n
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -68,7 +83,8 @@ def with_group_stats(rows: DataFrame, key: str, member: Column, *aggs: Column, w
 
     Groups are aggregated by key (a row for each key and task moves) together with a 64-bit mask of their
     rows' salts; a group's result goes back once for each salt, so the rows of one key meet in 64 places and
-    never in one. member decides a row's salt; where keeps only the groups for which it holds.
+    never in one. A place that is still too large for a task is split by adaptive execution, as it is a join with no
+    aggregate above it in the same stage. member decides a row's salt; where keeps only the groups for which it holds.
     """
     salted = rows.withColumn("_salt", _salt(member))
     whole = salted.groupBy(key).agg(*aggs, _mask(member))

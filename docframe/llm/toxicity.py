@@ -11,6 +11,7 @@ of a toxic text counts first, then the window that scores highest; of clean text
 that runs are learned beside words. A fifth of the sample is kept aside to set the output's bias, where the
 errors at the stated share of toxic texts are fewest.
 
+Texts are scored two megabytes at a time, or one longer text alone; memory is some 80 bytes for each byte of them.
 Defined results: null and empty texts are one window without words, which scores as the output's bias alone;
 repeated rows score alike; without labels every score is 0.5; labels, lang, source and doc_id are no inputs.
 """

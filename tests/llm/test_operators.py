@@ -220,6 +220,15 @@ def test_leftovers_of_a_failed_compaction_do_not_count(spark, tmp_path):
     assert [r.keep_id for r in exact_dedup.DigestIndex(spark, path).rows().collect()] == [1]
 
 
+def test_clear_removes_what_was_written(spark, tmp_path, monkeypatch):
+    from docframe.llm import _io
+
+    monkeypatch.setattr(_io, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    monkeypatch.setattr(_io, "_written", [])
+    exact_dedup.dedup(mixed(spark)).count()
+    assert list((tmp_path / "shared").iterdir()) and _io.clear(spark) > 0 and not list((tmp_path / "shared").iterdir()) and _io.clear(spark) == 0
+
+
 # ---- 5 language model ----------------------------------------------------------------------------------------
 
 
