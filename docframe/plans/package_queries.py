@@ -3,9 +3,11 @@ reads them with the package plans, and has an oracle that says from the same row
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docframe.formula import mtef, omml
@@ -15,7 +17,13 @@ from docframe.operators import blocks as B
 from docframe.plans import exercises, lesson_schema, lessons
 from docframe.plans.catalog import FOLD, KIND_SQL, LINES, PLAIN
 from docframe.plans.registry import query, table
-from docframe.sources import cfb, docx, writer
+from docframe.sources import cfb, docx, sinks, writer
+
+
+def folder_of(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a temporary one where none is named and all run in this process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='docframe-')}"
+    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
 def run(text: Column | str, bold: Column | bool = False, color: str | None = None, underline: bool = False, kind: str = "text", data: Column | None = None) -> Column:
@@ -205,7 +213,7 @@ def _questions(spark, sf_dir) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("_p"))
     grouped = rows.groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "_p"))), lambda v: v["_p"])).alias("_all"))
     packed = grouped.select(F.concat(F.lit("/in/"), "conv_id", F.lit(".docx")).alias("path"), F.concat(F.array(start, para("1. x"), end), "_all").alias("paragraphs"))
-    return docx.parse(writer.packages(packed)).persist(StorageLevel.DISK_ONLY)
+    return sinks.stage(docx.parse(writer.packages(packed)), folder_of(spark), "parsed")
 
 
 ASKED = """a AS (SELECT *, (conv_id + turn) % 9 AS k, md5(text) AS m, last_value(CASE WHEN role = 'system' THEN 1 + turn % 3 END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS num FROM conversations),
@@ -276,7 +284,7 @@ def _lessons(spark, sf_dir) -> DataFrame:
     body = F.transform(F.array_sort(F.collect_list(F.struct("block_idx", para(run(made)).alias("p")))), lambda v: v["p"])
     path = F.concat(F.lit("/in/toan 12/Bài 7 - t"), "doc_id", F.lit(".docx"))
     rows = lines.groupBy("doc_id").agg(body.alias("_b")).select(path.alias("path"), F.concat(F.array(para("A. KIẾN THỨC TRỌNG TÂM")), "_b", F.array(para("B. BÀI TẬP"))).alias("paragraphs"))
-    return docx.parse(writer.packages(rows)).persist(StorageLevel.DISK_ONLY)
+    return sinks.stage(docx.parse(writer.packages(rows)), folder_of(spark), "parsed")
 
 
 NUMERALS = {"roman": "^(X{0,2}(?:IX|IV|V?I{0,3}))\\\\s*[.)\\\\-–:]\\\\s+(.*)$", "arabic": "^([0-9]{1,2})\\\\s*[.)\\\\-–:]\\\\s+(.*)$", "alpha_upper": "^([A-Z])\\\\s*[.)\\\\-–:]\\\\s+(.*)$"}
@@ -314,7 +322,9 @@ def lesson_sections(spark, sf_dir):
   SELECT doc_id, 'math-12-kntt-bai-07-t' || doc_id AS lesson_id, 0 AS violations, nodes, blocks, words::BIGINT AS words, CASE WHEN words < 50 THEN 'FAIL' WHEN words < 150 THEN 'WARN' ELSE 'PASS' END AS status FROM w JOIN n USING (doc_id)""")
 def lesson_documents(spark, sf_dir):
     """Lesson documents of those packages, held against their schema."""
-    found = schema.validate(lessons.documents(_lessons(spark, sf_dir)), "json", lesson_schema.LESSON)
+    folder = folder_of(spark)
+    made = lessons.documents(_lessons(spark, sf_dir), work=lambda rows, name: sinks.stage(rows, folder, name))
+    found = schema.validate(made, "json", lesson_schema.LESSON)
     count = lambda key: F.regexp_count("json", F.lit(rf'"{key}":')).cast("long")
     return found.select(
         number_of("path").alias("doc_id"), F.col("doc_id").alias("lesson_id"), F.size("violations").cast("long").alias("violations"), count("node_id").alias("nodes"), count("block_id").alias("blocks"),

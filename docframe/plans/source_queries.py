@@ -4,8 +4,6 @@ oracle that says from the same rows what must come out."""
 from __future__ import annotations
 
 import io
-import tempfile
-import uuid
 import zipfile
 
 import pyarrow as pa
@@ -20,25 +18,19 @@ from docframe.operators import labelling, quality, render
 from docframe.operators import questions as Q
 from docframe.plans import config, exercises
 from docframe.plans.catalog import FOLD, LINES
-from docframe.plans.package_queries import number_of, para, run
+from docframe.plans.package_queries import folder_of, number_of, para, run
 from docframe.plans.registry import query, table
 from docframe.sources import docx, sinks, writer
 from docframe.streaming import ingest
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; a temporary one where none is named and all run in this process."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='docframe-')}"
-    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 # ---- sources and sinks ---------------------------------------------------------------------------------------
 
 
 @query("""SELECT lower(replace(n_name, ' ', '-')) || '.docx' AS name, length(n_name) + 2 AS bytes FROM nation""")
 def directory_scan(spark, sf_dir):
     """Named files in folders of their own, scanned without temporary and resource files and other kinds."""
-    nation, folder = table(spark, sf_dir, "nation"), _folder(spark)
+    nation, folder = table(spark, sf_dir, "nation"), folder_of(spark)
     body, base = F.concat("n_name", F.lit("é")), file_slug(F.col("n_name"))
     kinds = F.array(*[F.concat(F.lit(p), base, F.lit(e)) for p, e in (("a/", ".docx"), ("a/~$", ".docx"), ("b/._", ".docx"), ("", ".txt"))])
     sinks.write_named(nation.select(F.explode(kinds).alias("name"), body.alias("body")), folder, "name", "body").count()
@@ -62,7 +54,7 @@ def zip_bundle(spark, sf_dir):
 @query("SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations")
 def json_lines(spark, sf_dir):
     """Rows as JSON lines, read back."""
-    rows, folder = table(spark, sf_dir, "conversations"), _folder(spark)
+    rows, folder = table(spark, sf_dir, "conversations"), folder_of(spark)
     sinks.write_json_lines(rows, folder)
     return spark.read.schema(rows.schema).json(folder).select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
@@ -80,7 +72,7 @@ def delivered_state(spark, sf_dir):
 @query("SELECT r_name AS name, count(*) AS n FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
 def stage_tables(spark, sf_dir):
     """A stage kept as a table: the second call reads what the first one wrote, whatever it is given."""
-    folder = _folder(spark)
+    folder = folder_of(spark)
     joined = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy(F.col("r_name").alias("name")).agg(F.count("*").alias("n"))
     sinks.stage(joined, folder, "counts")
     return sinks.stage(joined.where("n < 0"), folder, "counts")
@@ -91,7 +83,7 @@ def stage_tables(spark, sf_dir):
 
 def _streamed(spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """The events as a stream through build, all of it, into a table."""
-    folder = _folder(spark)
+    folder = folder_of(spark)
     events = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     made = build(events)
     made.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
