@@ -12,7 +12,8 @@ star-shaped candidates, a number linear in the bucket. A pair is a link if it pa
 contracted to components by minima of uids, a bounded number of rows per node and round.
 
 Buckets of three or more whose members are then in several components are closed: every pair of such a bucket
-that lies across components is compared, in blocks, by parity bitmaps of the sets. Bitmaps of sets that differ in d
+that lies across components is compared, in blocks, by parity bitmaps of the sets; the members of its largest
+component, which may be nearly all, meet the others only. Bitmaps of sets that differ in d
 shingles differ in at most d bits, so a pair that differs in more bits than the likeness allows cannot pass, and
 all other pairs are tested on the full sets. So two documents of one bucket that pass are always joined.
 
@@ -226,14 +227,25 @@ def _near(label: np.ndarray, side: np.ndarray, n: np.ndarray, maps: list[bytes],
 
 
 def across(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: the pairs of a bucket across components that may pass, of members (bucket, _n, uid, label, n,
-    bits). A bucket is dealt into blocks of about BLOCK members and a cell of two blocks is one task's work, so no
-    task meets more than two blocks of a bucket at once, and only pairs that may pass become rows."""
-    parts = F.ceil(F.col("_n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.col("_g")).cast("int")
-    dealt = members.withColumn("_g", parts).withColumn("_i", own).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
-    cell = F.xxhash64("bucket", F.least("_i", "_j"), F.greatest("_i", "_j")).alias("cell")
-    rows = dealt.select(cell, F.col("_i").alias("side"), "uid", "label", "n", "bits")
+    """(a, b), a < b: the pairs of a bucket across components that may pass, of members (bucket, uid, label, n, bits, _top,
+    _g, _all, _k: the bucket's largest component, its members, all members, components).
+
+    The largest component's members and the others are dealt into blocks of about BLOCK each; a cell of two blocks, one
+    of them of the others, is one task's work. So no task meets more than two blocks of a bucket at once, a member of a
+    large component meets the others only, and only pairs that may pass become rows."""
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    dealt = members.withColumn("_a", blocks(F.col("_g"))).withColumn("_b", blocks(F.col("_all") - F.col("_g"))).withColumn("_big", F.col("label") == F.col("_top"))
+    own = F.pmod(F.xxhash64("uid"), F.when(F.col("_big"), F.col("_a")).otherwise(F.col("_b"))).cast("int")
+    dealt = dealt.withColumn("_i", own)
+    cell = lambda kind, i, j, side: F.struct(F.xxhash64("bucket", F.lit(kind), i, j).alias("cell"), side.cast("int").alias("side"))
+    places = lambda n, f: F.transform(F.sequence(F.lit(0), n - 1), f)
+    mine, among = F.col("_i"), F.col("_k") > 2
+    others = F.concat(
+        places(F.col("_a"), lambda i: cell(0, i, mine, F.lit(1))),
+        F.when(among, places(F.col("_b"), lambda j: cell(1, F.least(mine, j), F.greatest(mine, j), mine))).otherwise(F.array().cast("array<struct<cell:bigint,side:int>>")),
+    )
+    met = F.when(F.col("_big"), places(F.col("_b"), lambda j: cell(0, mine, j, F.lit(0)))).otherwise(others)
+    rows = dealt.withColumn("_c", F.explode(met)).select("_c.cell", "_c.side", "uid", "label", "n", "bits")
 
     def pairs(whole: pa.Table):
         ids, label, side, n = (whole.column(c).to_numpy() for c in ("uid", "label", "side", "n"))
@@ -307,8 +319,10 @@ def near_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     links = cut(verify(tested, sets, percent), "near-links")
     labels = components(links)
     placed = shared.where("_n > 2").join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    open_ = with_group_stats(placed, "bucket", F.col("uid"), F.min("label").alias("_low"), F.max("label").alias("_high"), where=F.col("_low") != F.col("_high"))
-    maybe = across(open_.drop("_low", "_high").join(bitmaps(sets), "uid"), percent)
+    held = placed.groupBy("bucket", "label").agg(F.count("*").alias("_c"))
+    open_ = held.groupBy("bucket").agg(F.max_by("label", "_c").alias("_top"), F.max("_c").alias("_g"), F.sum("_c").alias("_all"), F.count("*").alias("_k")).where("_k > 1")
+    members_of_open = attach(placed.select("bucket", "uid", "n", "label"), "bucket", open_, F.col("uid")).where("_top IS NOT NULL")
+    maybe = across(members_of_open.join(bitmaps(sets), "uid"), percent)
     more = cut(maybe.join(tested, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         found = _label(_label(verify(more, sets, percent), "a", labels, "_x", F.col("b")), "b", labels, "_y", F.col("a"))
