@@ -10,8 +10,8 @@ p(w | g) = (c(g w) + k p(w | h)) / (c(g) + k) after four words g of which h is t
 are m / (c(h) + m) times p(w) and k / (c(g) + k) times p(w | h), which are exactly failure arcs' weights: the automaton
 has a state for each known word, for the beginning and for each known context of four words, arcs for seen n-grams, and
 failure arcs from a context to its last word and from a word to the root, where each word has an arc. A shard builds the
-part of the automaton that its texts need, and all its texts traverse it left to right in step, carrying their state and
-summing log10 probabilities. A text's beginning has contexts of one word only.
+part of the automaton that its texts need, and all its texts traverse it left to right in strides, carrying their state
+from one to the next and summing log10 probabilities. A text's beginning has contexts of one word only.
 
 Words are told apart by 64 bits of hash, pairs and contexts by 40 (by more where the corpus has more than 2**32 bytes:
 eight more than its size has, up to 48), the word after a context by 15. Defined results: null and empty texts are the
@@ -36,7 +36,7 @@ from docframe.llm._words import mix, words
 
 END = np.uint64(0x45D9F3B1A2C47E65)
 START = np.uint64(0x1B873593CC9E2D51)
-LONG, _NEXT = 4, np.uint64(15)
+LONG, STRIDE, _NEXT = 4, 256, np.uint64(15)
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,22 +284,27 @@ class BackoffAutomaton:
         return weight
 
     def traverse(self, word_of: np.ndarray, rows: np.ndarray, entered: np.ndarray) -> np.ndarray:
-        """The summed log10 probability of each text, all texts going left to right in step. entered: the state of four
-        words that a text is in before each of its tokens, 0 where it is in that of one word."""
+        """The summed log10 probability of each text, all texts going left to right in strides of STRIDE tokens, each from
+        the state in which its last stride ended. entered: the state of four words that a text is in before each of its
+        tokens, 0 where it is in that of one word."""
         size = np.diff(rows)
         order = np.argsort(-size, kind="stable")
         longest_first, at = size[order], rows[:-1][order]
         state = np.full(len(order), self.start)
         score = np.zeros(len(order))
-        live = len(order)
-        for t in range(int(longest_first[0]) if len(order) else 0):
-            while longest_first[live - 1] <= t:
-                live -= 1
-            here = at[:live] + t
+        for t in range(0, int(longest_first[0]) if len(order) else 0, STRIDE):
+            live = int(np.searchsorted(-longest_first, -t, side="left"))
+            n = np.minimum(longest_first[:live] - t, STRIDE)
+            begin = np.cumsum(n) - n
+            here = np.repeat(at[:live] + t - begin, n) + np.arange(n.sum())
+            said = word_of[here]
+            now = np.empty(len(said), np.int64)
+            now[1:] = self.target[said[:-1]]
+            now[begin] = state[:live]
             deep = entered[here]
-            now = np.where(deep > 0, deep, state[:live]) if t >= LONG else state[:live]
-            score[:live] += self.step(now, word_of[here])
-            state[:live] = self.target[word_of[here]]
+            now = np.where(deep > 0, deep, now)
+            score[:live] += np.add.reduceat(self.step(now, said), begin)
+            state[:live] = self.target[said[begin + n - 1]]
         out = np.empty(len(order))
         out[order] = score
         return out

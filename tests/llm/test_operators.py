@@ -265,7 +265,9 @@ def test_packed_numbers_come_back():
     assert (lm_score._keys(lm_score._deltas(keys)) == keys).all()
 
 
-def test_language_model_against_brute_force(spark):
+@pytest.mark.parametrize("stride", [256, 7, 1])
+def test_language_model_against_brute_force(spark, monkeypatch, stride):
+    monkeypatch.setattr(lm_score, "STRIDE", stride)
     rng = random.Random(4)
     docs = [(i, " ".join(rng.choice("the a of cat Dog ß runs".split()) for _ in range(rng.randrange(40)))) for i in range(80)] + [(99, None), (100, "\n unseen words here"), (101, "w1 w2 w3 w4 w5 w6 w7"), (102, "w1 w2 w3 w4 w5 w6 w8")]
     got = {r.doc_id: r for r in lm_score.score(frame(spark, docs), shard_bytes=200, block_bytes=300).collect()}
