@@ -265,9 +265,29 @@ def test_packed_numbers_come_back():
     assert (lm_score._keys(lm_score._deltas(keys)) == keys).all()
 
 
-@pytest.mark.parametrize("stride", [256, 7, 1])
-def test_language_model_against_brute_force(spark, monkeypatch, stride):
-    monkeypatch.setattr(lm_score, "STRIDE", stride)
+def test_strides_agree(monkeypatch):
+    rng = np.random.default_rng(2)
+    counts = np.array([40, 25, 10, 5, 0])
+    machine = lm_score.BackoffAutomaton(counts, 80, 4, 7, 30.0)
+    machine.add_pairs(np.array([1, 1, 2, machine.start]), np.array([1, 2, 0, 0]), np.array([30, 10, 25, 7]))
+    machine.add_contexts(np.array([9]), np.array([1]), np.array([0, 0]), np.array([0, 3]), np.array([5, 4]), 0.5)
+    rows = np.cumsum([0, *rng.integers(1, 40, 30), 700])
+    word_of = rng.integers(0, 5, rows[-1])
+    at = np.arange(rows[-1]) - np.repeat(rows[:-1], np.diff(rows))
+    entered = np.where((at >= 4) & (rng.random(rows[-1]) < 0.3), machine.start + 1, 0)
+    want = []
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        state, total = machine.start, 0.0
+        for k in range(a, b):
+            total += machine.step(np.array([entered[k] or state]), word_of[k : k + 1])[0]
+            state = machine.target[word_of[k]]
+        want.append(total)
+    for stride in (1, 7, 256, 5000):
+        monkeypatch.setattr(lm_score, "STRIDE", stride)
+        assert machine.traverse(word_of, rows, entered) == pytest.approx(want)
+
+
+def test_language_model_against_brute_force(spark):
     rng = random.Random(4)
     docs = [(i, " ".join(rng.choice("the a of cat Dog ß runs".split()) for _ in range(rng.randrange(40)))) for i in range(80)] + [(99, None), (100, "\n unseen words here"), (101, "w1 w2 w3 w4 w5 w6 w7"), (102, "w1 w2 w3 w4 w5 w6 w8")]
     got = {r.doc_id: r for r in lm_score.score(frame(spark, docs), shard_bytes=200, block_bytes=300).collect()}
