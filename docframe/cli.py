@@ -37,7 +37,7 @@ def records(spark: SparkSession, inputs: list[str]) -> DataFrame:
     found = None
     for given in inputs:
         try:
-            files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option("wholetext", "true").text(given)
+            files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(given, wholetext=True)
         except AnalysisException:
             print(f"missing: {given}", file=sys.stderr)
             continue

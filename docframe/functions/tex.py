@@ -6,13 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Commands without weight in a comparison, and spellings that count as one.
-DROPPED = ("\\left", "\\right", "\\mathrm", "\\text")
-SAME = (("\\neq", "\\ne"), ("\\leq", "\\le"), ("\\geq", "\\ge"), ("°", "^\\circ"), ("\\rightarrow", "\\to"), ("\\cdot", "."))
+DROPPED = ("left", "right", "mathrm", "text")
+SAME = (("\\neq", "\\ne"), ("\\leq", "\\le"), ("\\geq", "\\ge"), ("°", "^\\circ"), ("\\rightarrow", "\\to"), ("\\Rightarrow", "\\to"), ("\\cdot", "."), ("~", ""))
 
 
 def normalize(latex: Column) -> Column:
-    for command in DROPPED:
-        latex = F.replace(latex, F.lit(command), F.lit(""))
+    latex = F.regexp_replace(latex, rf"\\(?:{'|'.join(DROPPED)})(?![A-Za-z])", "")
     for spelling, kept in SAME:
         latex = F.replace(latex, F.lit(spelling), F.lit(kept))
     return F.regexp_replace(latex, r"[\s{}]", "")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docframe.formula import mtef
 from docframe.formula.tables import TCVN3
+from docframe.functions import tex
 from docframe.functions.text import file_slug, fold, fold_plain
 from docframe.operators import blocks as B
 from docframe.operators import labelling, quality, render
@@ -329,3 +330,70 @@ def crop_pages(spark, sf_dir):
     body = F.array(F.lit("mở đầu"), F.lit("LÝ THUYẾT"), F.concat(F.lit("I. "), "n_name"), F.lit("thân"), F.lit("- một"), F.lit("• hai & ba"), F.lit("a) ý"), F.lit("B. BÀI TẬP"), F.lit("câu"))
     rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.posexplode(body).alias("i", "text"))
     return crop.outline_html(crop.outline(rows, "k", "i"), "k", "i")
+
+
+@query("""SELECT p_partkey AS k, 'x' || p_size || '\\ney\\lea\\geb60^\\circ\\toc\\tod.e\\frac' || p_size || p_partkey || 'text' AS form FROM part""")
+def formula_comparison(spark, sf_dir):
+    """The form in which two spellings of one formula are compared."""
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    latex = F.concat(F.lit("\\left x "), n, F.lit("\\right \\neq {y} \\leq a~\\geq b 60° \\rightarrow c\\Rightarrow d \\cdot e \\frac{"), n, F.lit("}{"), k, F.lit("}\\mathrm{\\text{text}}"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), tex.normalize(latex).alias("form"))
+
+
+@query("""SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 3 THEN 0 ELSE 1 + p_size END::BIGINT AS width, CASE p_partkey % 4 WHEN 3 THEN 0 ELSE 300 + p_size END::BIGINT AS height,
+  ['image/png', 'image/gif', 'image/jpeg', 'image/x-wmf'][1 + (p_partkey % 4)::INT] AS mime FROM part""")
+def image_headers(spark, sf_dir):
+    """Sizes and types of images by their headers and names; a metafile keeps its own type and has no size."""
+    from docframe.functions.text import mime_of
+    from docframe.sources.ooxml import image_size
+
+    def header(kind: int, w: int, h: int) -> bytes:
+        jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08" + h.to_bytes(2, "big") + w.to_bytes(2, "big")
+        return (writer.png(w, 1)[:20] + h.to_bytes(4, "big"), b"GIF89a" + w.to_bytes(2, "little") + h.to_bytes(2, "little"), jpeg, b"\xd7\xcd\xc6\x9a")[kind]
+
+    def read(batches):
+        for batch in batches:
+            sizes = [image_size(header(k % 4, 1 + n, 300 + n)) for k, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in sizes], pa.int64()), pa.array([h for _, h in sizes], pa.int64())], ["k", "width", "height"])
+
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").cast("long"))
+    extension = F.element_at(F.array(*[F.lit(x) for x in ("png", "GIF", "jpeg", "wmf")]), (F.col("k") % 4 + 1).cast("int"))
+    return rows.mapInArrow(read, "k long, width long, height long").withColumn("mime", mime_of(extension))
+
+
+@query("""SELECT n_name || '.json' AS name, 'Câu ' || n_nationkey AS content, CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 0 END::BIGINT AS choices, n_nationkey::BIGINT AS level FROM nation""")
+def record_files(spark, sf_dir):
+    """Records of one object a file, over several lines and folders, read with the fields that labelling uses."""
+    from docframe.cli import records
+
+    k = F.col("n_nationkey").cast("string")
+    choices = F.when(F.col("n_nationkey") % 2 == 0, '[{"id": 1, "content": "a"},\n {"id": 2, "content": null}]').otherwise("null")
+    json = F.concat(F.lit('{\n  "content": "Câu '), k, F.lit('",\n  "choices": '), choices, F.lit(',\n  "cognitive_level_num": '), k, F.lit("\n}"))
+    folder = folder_of(spark)
+    sinks.write_named(table(spark, sf_dir, "nation").select(F.concat(F.lit("r"), F.col("n_regionkey"), F.lit("/"), "n_name", F.lit(".json")).alias("name"), json.alias("body")), folder, "name", "body").count()
+    found = records(spark, [folder])
+    name = F.url_decode(F.element_at(F.split("path", "/"), -1))
+    return found.select(name.alias("name"), "content", F.coalesce(F.size("choices"), F.lit(0)).cast("long").alias("choices"), F.col("cognitive_level_num").cast("long").alias("level"))
+
+
+@query("""WITH s AS (SELECT n_nationkey AS k, 10 * n_nationkey + 2 AS words, n_nationkey % 3 AS figures, CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE n_nationkey % 5 + 1 END AS formulas, CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE n_nationkey % 5 END AS resolved FROM nation),
+  g AS (SELECT *, CASE WHEN formulas = 0 THEN 1 ELSE resolved / formulas END AS share FROM s)
+  SELECT k::BIGINT AS k, words::BIGINT AS words, figures::BIGINT AS figures, formulas::BIGINT AS formulas, resolved::BIGINT AS resolved, CASE WHEN k = 0 THEN 1 ELSE 2 END::BIGINT AS sections,
+    concat_ws(',', CASE WHEN words < 50 AND figures < 2 THEN 'FEW_WORDS' END, CASE WHEN share < 0.7 THEN 'FORMULAS_UNRESOLVED' END, CASE WHEN words < 150 THEN 'SHORT' END, CASE WHEN share < 0.9 THEN 'SOME_UNRESOLVED' END) AS flags,
+    CASE WHEN (words < 50 AND figures < 2) OR share < 0.7 THEN 'FAIL' WHEN words < 150 OR share < 0.9 THEN 'WARN' ELSE 'PASS' END AS status FROM g""")
+def lesson_gates(spark, sf_dir):
+    """Statistics and gates of packages: words, figures, sections, formulas that could and could not be read."""
+    from docframe.plans import lessons
+
+    k = F.col("n_nationkey")
+    words = para(run(F.trim(F.repeat(F.lit("từ "), k * 10))))
+    figures = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.when(i < k % 3, para(run("", kind="image", data=F.lit(writer.png(2, 2))))).otherwise(para("")))
+    good = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: F.when(i <= k % 5, para(run(F.concat(F.lit("<m:r><m:t>"), i.cast("string"), F.lit("</m:t></m:r>")), kind="math"))).otherwise(para("")))
+    bad = F.when(k % 5 > 0, para(run("", kind="equation", data=F.lit(writer.compound(b"none"))))).otherwise(para(""))
+    body = F.concat(F.array(para("A. KIẾN THỨC TRỌNG TÂM"), words, para(run("I. Một", bold=True))), figures, good, F.array(bad, para("B. BÀI TẬP")))
+    folder = folder_of(spark)
+    keep = lambda rows, name: sinks.stage(rows, folder, name)
+    packed = table(spark, sf_dir, "nation").select(F.concat(F.lit("/in/"), "n_nationkey", F.lit(".docx")).alias("path"), body.alias("paragraphs"))
+    parsed = keep(docx.parse(writer.packages(packed)), "parsed")
+    counts = [F.col(c).cast("long").alias(c) for c in ("words", "figures", "formulas", "resolved", "sections")]
+    return lessons.gates(parsed, keep).select(number_of("path").alias("k"), *counts, "flags", "status")
