@@ -13,11 +13,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession
 
-from docframe.plans.catalog import QUERIES
+from docframe.plans import package_queries, source_queries  # noqa: F401  each registers its queries
+from docframe.plans.registry import QUERIES
 
 HEADLINE = (
     "fold_text", "lines_as_blocks", "heading_flag", "theory_bounds", "section_tree", "section_paths", "bullet_runs", "run_merge", "question_segments", "choice_split", "odd_color",
-    "asset_registry", "doc_stats", "qa_gates", "groundtruth_eval", "strip_html", "upsert_anti",
+    "asset_registry", "doc_stats", "qa_gates", "groundtruth_eval", "strip_html", "upsert_anti", "package_blocks", "equation_forms", "exercise_questions", "rendered_blocks",
 )
 
 

@@ -1,4 +1,4 @@
-"""Text functions as native column expressions. Python's notion of white space needs (?U) in Java patterns."""
+"""Text functions as native column expressions."""
 
 from __future__ import annotations
 
@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Characters that count as white space, at the ends of a text and inside it: named one by one, as Java's own class of them
+#: looks up each character's properties.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK_RUN = rf"[{BLANKS}]+"
+
+
 @lru_cache(maxsize=1)
 def _bare_letters() -> tuple[str, str]:
     """Characters that decompose to one base character and marks, and those bases; built from the Unicode data."""
@@ -27,7 +33,7 @@ def _bare_letters() -> tuple[str, str]:
 def fold(text: Column) -> Column:
     """Lower case without accents, white space squeezed and trimmed: the key for all marker comparisons."""
     bare = F.regexp_replace(F.translate(text, *_bare_letters()), r"\p{Mn}", "")
-    return F.lower(strip(F.regexp_replace(bare, r"(?U)\s+", " ")))
+    return F.lower(strip(F.regexp_replace(bare, BLANK_RUN, " ")))
 
 
 def fold_plain(text: Column) -> Column:
@@ -44,10 +50,6 @@ def file_slug(name: Column) -> Column:
     return F.replace(F.lower(name), F.lit(" "), F.lit("-"))
 
 
-#: Characters that count as white space.
-BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
 def strip(text: Column) -> Column:
     """Without white space at either end; looks at the ends only."""
     return F.btrim(text, F.lit(BLANKS))
@@ -64,7 +66,7 @@ def html_escape(text: Column) -> Column:
 
 
 def strip_html(text: Column, most: int = 800) -> Column:
-    return F.substring(strip(F.regexp_replace(F.regexp_replace(text, "<[^>]+>", " "), r"(?U)\s+", " ")), 1, most)
+    return F.substring(strip(F.regexp_replace(F.regexp_replace(text, "<[^>]+>", " "), BLANK_RUN, " ")), 1, most)
 
 
 def html_cleanup(text: Column) -> Column:
