@@ -370,6 +370,22 @@ def test_bucket_of_several_groups_is_closed(spark, monkeypatch):
         assert got == want and len({c for _, c in want.values()}) < len(texts)
 
 
+def test_large_component_meets_the_others(spark, monkeypatch):
+    """One bucket with a component of many near copies, pairs apart from it, and a text that only some copies link to."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(100)]
+    texts = [(i, " ".join(base[: 100 - i % 5] + [f"t{i}"])) for i in range(40)]
+    for k in range(6):
+        own = [f"g{k}w{rng.randrange(10**6)}" for _ in range(60)]
+        texts += [(100 + 2 * k, " ".join(own)), (101 + 2 * k, " ".join([*own, "end"]))]
+    texts += [(200, " ".join(base[:88])), (201, " ".join(base[:76])), (202, " ".join(base[:50]))]
+    monkeypatch.setattr(minhash, "band_keys", lambda signature: np.full((len(signature), 1), 7, np.uint64))
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(frame(spark, texts)).collect()}
+    want = brute_groups(texts, 5, 80)
+    assert got == want and len({c for _, c in want.values()}) == 8
+
+
 def test_dense_group_without_its_base(spark):
     """Texts made from one absent text, many of their pairs just below the likeness and some above."""
     rng = random.Random(5)
