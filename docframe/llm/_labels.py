@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm._io import cut, fold_of
+from docframe.llm._words import lean
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, held_fold: int = 0, folds: int = 5) -> DataFrame:
@@ -38,5 +39,5 @@ def trained(sample: DataFrame, fit: Callable[[list[str], list[int]], bytes | Non
         if len({r[2] for r in rows}) == 2:
             yield pa.RecordBatch.from_arrays([pa.array([fit([r[1] for r in rows], [r[2] for r in rows])], pa.binary())], ["model"])
 
-    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    found = sample.repartition(1).mapInArrow(lean(run), "model binary").collect()
     return bytes(found[0].model) if found else None

@@ -6,6 +6,9 @@ values modulo 2**64 (prefix sums give every word of a buffer at once), finished
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +16,27 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _STEP = 1 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker stays after its task, beside the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+def lean(run):
+    """run (batches to batches), after whose last batch the worker holds what it needs only."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 _MULT = 0x9E3779B97F4A7C15
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True

@@ -65,8 +65,8 @@ class DigestIndex:
         return max((r.asDict() for r in rows), key=lambda r: r["generation"], default=None)
 
     def _begin(self, generation: int) -> None:
-        row = self.spark.createDataFrame([(generation, self.buckets)], "generation INT, buckets INT")
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
+        row = self.spark.range(1).select(F.lit(generation).alias("generation"), F.lit(self.buckets).alias("buckets"))
+        row.write.mode("append").parquet(f"{self.path}/generations")
         self.generation = generation
 
     def _name(self) -> None:

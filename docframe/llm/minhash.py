@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm._io import attach, cut, with_group_stats
-from docframe.llm._words import mix, slices, words
+from docframe.llm._words import lean, mix, slices, words
 
 BINS, ROWS, BLOCK = 128, 4, 1024
 NULL_ID = -(1 << 63)
@@ -122,7 +122,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             begin += len(size)
             yield pa.RecordBatch.from_arrays([pa.array(uid), batch.column(0), batch.column(1), pa.array(size, pa.int64()), *digests, lists], ["uid", "doc_id", "th", "n_shingles", "hi", "lo", "bands"])
 
-    return _narrow(docs).mapInArrow(run, "uid long, doc_id long, th long, n_shingles long, hi long, lo long, bands array<long>")
+    return _narrow(docs).mapInArrow(lean(run), "uid long, doc_id long, th long, n_shingles long, hi long, lo long, bands array<long>")
 
 
 def full_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -134,7 +134,7 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["uid", "items"])
 
-    return texts.select("uid", "text").mapInArrow(run, "uid long, items array<long>")
+    return texts.select("uid", "text").mapInArrow(lean(run), "uid long, items array<long>")
 
 
 def _star(buckets: DataFrame, centre: Column, percent: int) -> DataFrame:
@@ -194,7 +194,7 @@ def bitmaps(sets: DataFrame) -> DataFrame:
             maps = [bitmap(values[ends[i] : ends[i + 1]]).tobytes() for i in range(len(lists))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], ["uid", "bits"])
 
-    return sets.mapInArrow(run, "uid long, bits binary")
+    return sets.mapInArrow(lean(run), "uid long, bits binary")
 
 
 def _near(label: np.ndarray, side: np.ndarray, n: np.ndarray, maps: list[bytes], percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -272,7 +272,7 @@ def across(members: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from pairs(pa.Table.from_batches(held))
 
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docframe.llm._io import cut
-from docframe.llm._words import slices
+from docframe.llm._words import lean, slices
 
 END, PLAN = 1, 1 << 16
 SPECIAL = "<|endoftext|>"
@@ -85,7 +85,7 @@ def tokens(docs: DataFrame, window: int, vocabulary: str | None = None) -> DataF
             yield pa.RecordBatch.from_arrays([*columns, pa.array(wide), pa.array(out, pa.binary())], [x.split()[0] for x in TOKENS.split(", ")])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, TOKENS)
+    return narrow.mapInArrow(lean(run), TOKENS)
 
 
 TOKENS = "part long, doc_id long, n_tokens long, rest long, whole long, rank long, whole_rank long, wide boolean, ids binary"
@@ -215,7 +215,7 @@ def pack(docs: DataFrame, window: int = 2048, vocabulary: str | None = None) ->
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], list(NAMES))
 
-    return ranked.mapInArrow(run, ", ".join(f"{n} long" for n in NAMES))
+    return ranked.mapInArrow(lean(run), ", ".join(f"{n} long" for n in NAMES))
 
 
 NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

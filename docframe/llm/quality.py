@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm._labels import labelled_rows, trained
-from docframe.llm._words import IS_SPACE, hash_spans, mix, slices, text_buffer, word_bounds
+from docframe.llm._words import IS_SPACE, hash_spans, lean, mix, slices, text_buffer, word_bounds
 
 TABLE_BITS = 18
 _SAME = np.uint64(12_345)
@@ -127,7 +127,7 @@ class QualityModel:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_texts(batch.column(1), parts, bias))], ["doc_id", "score"])
 
         narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        return narrow.mapInArrow(run, "doc_id long, score double")
+        return narrow.mapInArrow(lean(run), "doc_id long, score double")
 
     def keep(self, docs: DataFrame, threshold: float = 0.3) -> DataFrame:
         """The rows of docs that score at least threshold, all columns as they are."""
@@ -137,4 +137,4 @@ class QualityModel:
             for batch in slices(batches, most=1 << 20):
                 yield batch.filter(pa.array(score_texts(batch.column(place), parts, bias) >= threshold))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(lean(run), docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm import automaton
-from docframe.llm._words import slices, text_buffer
+from docframe.llm._words import lean, slices, text_buffer
 
 
 @dataclass(frozen=True)
@@ -129,7 +129,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(_SPAN))], ["doc_id", "spans"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long,value:string>>")
+    return narrow.mapInArrow(lean(run), "doc_id long, spans array<struct<kind:string,start:long,end:long,value:string>>")
 
 
 def listed(spans: Column) -> Column:
@@ -155,4 +155,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "*") ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text string")
+    return narrow.mapInArrow(lean(run), "doc_id long, text string")

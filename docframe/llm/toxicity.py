@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm._labels import labelled_rows, trained
-from docframe.llm._words import hash_spans, mix, slices, text_buffer, word_bounds
+from docframe.llm._words import hash_spans, lean, mix, slices, text_buffer, word_bounds
 
 WINDOW, STRIDE, DIM, HIDDEN, TABLE_BITS = 64, 48, 12, 10, 15
 
@@ -302,4 +302,4 @@ class ToxicityModel:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
         narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        return narrow.mapInArrow(run, "doc_id long, score double")
+        return narrow.mapInArrow(lean(run), "doc_id long, score double")
