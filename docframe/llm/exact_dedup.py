@@ -136,10 +136,10 @@ def _added(docs: DataFrame, index: DigestIndex | None) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: of equal texts the one with the largest doc_id, all columns as they are.
 
-    Rows that repeat doc_id and text fall to one before they move; the texts then meet the list of kept pairs once.
+    The texts meet the list of kept pairs once, and rows that repeat doc_id and text fall to one there.
     """
     own = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NULL_ID))
     keep = _added(docs, None).select("digest", own("keep_id").alias("id"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     named = whole.select(digest_of(F.col("row.text")).alias("digest"), own("row.doc_id").alias("id"), "row")
-    return named.groupBy("digest", "id").agg(F.first("row").alias("row")).join(keep.hint("merge"), ["digest", "id"], "left_semi").select("row.*")
+    return named.join(keep.hint("merge"), ["digest", "id"], "left_semi").groupBy("digest", "id").agg(F.first("row").alias("row")).select("row.*")

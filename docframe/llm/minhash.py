@@ -155,10 +155,11 @@ def _most_company(buckets: DataFrame) -> DataFrame:
 
 def sets_of(ids: DataFrame, firsts: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """uid and shingle hashes of the rows in ids; only their texts are hashed again. Rows that repeat doc_id and
-    text fall to one before they move."""
+    text fall to one where they meet the ids, in the order in which the join leaves them: a sort of whole texts before
+    they move took more memory than all else."""
     wanted = firsts.select("uid", "doc_id", "th").join(ids, "uid", "left_semi")
-    texts = _narrow(docs).groupBy("doc_id", "th").agg(F.first("text").alias("text"))
-    return cut(full_sets(texts.join(wanted.hint("merge"), ["doc_id", "th"]), width), "shingle-sets")
+    texts = _narrow(docs).join(wanted.hint("merge"), ["doc_id", "th"]).groupBy("doc_id", "th").agg(F.first("uid").alias("uid"), F.first("text").alias("text"))
+    return cut(full_sets(texts, width), "shingle-sets")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -350,4 +351,4 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     kept = near_rows(docs, width, percent).where("uid = first_uid").select("doc_id", "th").distinct()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     named = whole.select(F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), _text_hash(F.col("row.text").cast("string")).alias("th"), "row")
-    return named.groupBy("doc_id", "th").agg(F.first("row").alias("row")).join(kept.hint("merge"), ["doc_id", "th"], "left_semi").select("row.*")
+    return named.join(kept.hint("merge"), ["doc_id", "th"], "left_semi").groupBy("doc_id", "th").agg(F.first("row").alias("row")).select("row.*")
