@@ -102,7 +102,7 @@ def main(args: list[str] | None = None) -> int:
     elif given.job == "theory":
         named = lessons.pages(parsed).persist()
         sinks.write_named(named, given.out, "name", "html").count()
-        bad += parsed.where("error IS NULL").join(named.select("path"), "path", "left_anti").count()
+        bad += parsed.where("error IS NULL AND part = 0").join(named.select("path"), "path", "left_anti").count()
         named.unpersist()
     else:
         found = schema.validate(lessons.documents(parsed, files=files, work=stage), "json", lesson_schema.LESSON).withColumn("name", F.concat("doc_id", F.lit(".json"))).persist()

@@ -141,7 +141,7 @@ def audit(found: DataFrame) -> DataFrame:
 def report(parsed: DataFrame, found: DataFrame) -> DataFrame:
     """path, status (ERROR, EMPTY, OK), error, questions of every file, those without questions included."""
     counts = found.groupBy("path").agg(F.count("*").alias("questions"))
-    met = parsed.select("path", "error").join(counts, "path", "left").withColumn("questions", F.coalesce("questions", F.lit(0)))
+    met = parsed.where("part = 0").select("path", "error").join(counts, "path", "left").withColumn("questions", F.coalesce("questions", F.lit(0)))
     return met.withColumn("status", F.when(F.col("error").isNotNull(), "ERROR").when(F.col("questions") == 0, "EMPTY").otherwise("OK"))
 
 

@@ -145,3 +145,25 @@ def test_stream(spark, tmp_path):
     stream = ingest.once(ingest.with_hash(ingest.file_stream(spark, str(folder))))
     ingest.run_batches(stream, lambda df, i: seen.extend(r.path for r in df.select("path").collect()), str(tmp_path / "ck")).awaitTermination(120)
     assert len(seen) == 1
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packages_of_a_query_are_read_once(spark):
+    from docframe.plans import source_queries  # noqa: F401
+    from docframe.plans.registry import QUERIES
+
+    plan = plan_of(QUERIES["plain_markup"](spark, "/root/testdata/sf0.001"))
+    assert "MapInPandas" not in plan and "MapInArrow" not in plan  # a table of parsed packages, not packages again for each use
+
+
+def test_a_large_file_is_read_in_parts(spark, tmp_path):
+    body = [p(r(f"dòng {i} " + "x" * 40)) for i in range(200)]
+    (tmp_path / "a.docx").write_bytes(package(*body))
+    (tmp_path / "b.docx").write_bytes(b"none")
+    files = docx.scan(spark, str(tmp_path))
+    whole, parts = docx.parse(files), docx.parse(files, most=2000)
+    assert parts.where("error IS NULL").count() > 10 and parts.where("part = 0").count() == whole.count() == 2
+    assert sorted(docx.blocks(parts).collect()) == sorted(docx.blocks(whole).collect()) and docx.readable(parts).count() == 1
