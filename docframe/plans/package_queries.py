@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,16 +67,30 @@ def _with_parts(rows: DataFrame) -> DataFrame:
     """rows (nation, k) plus image and equation: bytes of a picture and of an embedded equation."""
 
     def make(batches):
+        image = lru_cache(writer.png)
+        equation = lru_cache(lambda nation, d: writer.compound(writer.equation([("frac", list(str(nation)), list(str(d)))])))
         for batch in batches:
             images, equations = [], []
             for nation, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                images.append(writer.png(1 + k % 5, 1 + k % 3))
-                equations.append(writer.compound(writer.equation([("frac", list(str(nation)), list(str(1 + k % 7)))])))
+                images.append(image(1 + k % 5, 1 + k % 3))
+                equations.append(equation(nation, 1 + k % 7))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(images, pa.binary()), pa.array(equations, pa.binary())], ["nation", "k", "image", "equation"])
 
     return rows.mapInArrow(make, "nation long, k long, image binary, equation binary")
 
 
+def _customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), F.col("c_custkey").cast("long").alias("k"))
+
+
+def _parted(spark, sf_dir) -> DataFrame:
+    """Parsed packages, one a nation, of a paragraph with a picture and an equation for each customer. Keys move and are
+    ordered; bytes are made where the package is written."""
+    one = para(run("x", kind="image", data=F.col("image")), run("y", kind="equation", data=F.col("equation")))
+    rows = _with_parts(writer.gathered(_customers(spark, sf_dir), "nation", "k"))
+    return docx.parse(writer.bundled(rows.select(F.concat(F.lit("/in/"), "nation", F.lit(".docx")).alias("path"), one.alias("paragraph"))))
+
+
 @query("""WITH c AS (SELECT c_nationkey AS nation, c_custkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS j FROM customer),
   r AS (SELECT nation, 2 * j AS ref, 'figure' AS kind, 1 + k % 5 AS width, 1 + k % 3 AS height, NULL AS latex FROM c
         UNION ALL SELECT nation, 2 * j + 1, 'formula', 0, 0, '\\frac{' || nation || '}{' || (1 + k % 7) || '}' FROM c),
@@ -84,11 +99,7 @@ def _with_parts(rows: DataFrame) -> DataFrame:
     uses, refs, CASE kind WHEN 'formula' THEN 0.93 ELSE 0 END::DOUBLE AS confidence, CASE kind WHEN 'formula' THEN 'mtef' END AS source, 'image/png' AS mime FROM d""")
 def package_assets(spark, sf_dir):
     """Pictures and embedded equations of one package a nation: each distinct asset once, numbered by first use."""
-    rows = _with_parts(table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), F.col("c_custkey").cast("long").alias("k")))
-    one = para(run("x", kind="image", data=F.col("image")), run("y", kind="equation", data=F.col("equation")))
-    made = F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("p")))), lambda v: v["p"])
-    packed = writer.packages(rows.groupBy("nation").agg(made.alias("paragraphs")).select(F.concat(F.lit("/in/"), "nation", F.lit(".docx")).alias("path"), "paragraphs"))
-    found = docx.assets(docx.parse(packed))
+    found = docx.assets(_parted(spark, sf_dir))
     uses = F.array_join(F.transform("uses", lambda x: x.cast("string")), ",")
     return found.select(
         number_of("path").alias("nation"), "aid", "kind", "latex", F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"), F.size("uses").cast("long").alias("uses"),

@@ -167,3 +167,13 @@ def test_a_large_file_is_read_in_parts(spark, tmp_path):
     whole, parts = docx.parse(files), docx.parse(files, most=2000)
     assert parts.where("error IS NULL").count() > 10 and parts.where("part = 0").count() == whole.count() == 2
     assert sorted(docx.blocks(parts).collect()) == sorted(docx.blocks(whole).collect()) and docx.readable(parts).count() == 1
+
+
+def test_a_large_package_is_written_as_its_paragraphs_come(spark):
+    from docframe.plans.registry import QUERIES
+    from docframe.sources import writer
+
+    assert "collect_list" not in plan_of(QUERIES["package_assets"](spark, "/root/testdata/sf0.001"))
+    runs = [{"kind": "image", "data": PNG}, {"kind": "equation", "data": b"none"}]
+    content = writer.Writer().package(({"runs": runs} for _ in range(3)), packed=True)
+    assert sorted(zipfile.ZipFile(io.BytesIO(content)).namelist()) == ["word/_rels/document.xml.rels", "word/document.xml", "word/embeddings/oleObject2.bin", "word/media/image1.png"]
