@@ -312,13 +312,10 @@ def upsert_rows(spark, sf_dir):
   SELECT nation::BIGINT AS nation, ref::BIGINT AS ref, CASE WHEN d = 3 THEN '<code>\\frac{' || nation || '}{3}</code>' WHEN d = 5 THEN '<i>5</i>' ELSE '<i>\\frac{' || nation || '}{' || d || '}</i>' END AS html FROM c""")
 def typeset_formulas(spark, sf_dir):
     """Formulas by a renderer that sees each distinct one once, some of them replaced by hand, some of which it refuses."""
-    from docframe.plans.package_queries import _with_parts
+    from docframe.plans.package_queries import _customers, _parted, _with_parts
 
-    rows = _with_parts(table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), F.col("c_custkey").cast("long").alias("k")))
-    one = para(run("x", kind="image", data=F.col("image")), run("y", kind="equation", data=F.col("equation")))
-    packed = rows.groupBy("nation").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("p")))), lambda v: v["p"]).alias("paragraphs"))
-    found = docx.assets(docx.parse(writer.packages(packed.select(F.concat(F.lit("/in/"), "nation", F.lit(".docx")).alias("path"), "paragraphs"))))
-    by_hand = rows.where("1 + k % 7 = 5").select(F.sha2("equation", 256).alias("sha256"), F.lit("5").alias("latex")).distinct()
+    found = docx.assets(sinks.stage(_parted(spark, sf_dir), folder_of(spark), "parsed"))
+    by_hand = _with_parts(writer.spread(_customers(spark, sf_dir).where("1 + k % 7 = 5"), "k")).select(F.sha2("equation", 256).alias("sha256"), F.lit("5").alias("latex")).distinct()
     shown = render.typeset(docx.overridden(found, by_hand), lambda latex: [None if x.endswith("{3}") else f"<i>{x}</i>" for x in latex])
     return shown.where("NOT startswith(html, '<img')").select(number_of("path").alias("nation"), F.col("ref").cast("long").alias("ref"), "html")
 

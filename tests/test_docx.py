@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docframe.operators import labelling
-from docframe.plans import exercises, lessons
-from docframe.sources import docx, sinks
+from docframe.plans import exercises, lessons, package_queries, source_queries  # noqa: F401
+from docframe.plans.registry import QUERIES
+from docframe.sources import docx, sinks, writer
 from docframe.sources.cfb import equation_stream
 from docframe.streaming import ingest
 
@@ -152,8 +153,6 @@ def plan_of(rows):
 
 
 def test_packages_of_a_query_are_read_once(spark):
-    from docframe.plans import source_queries  # noqa: F401
-    from docframe.plans.registry import QUERIES
 
     plan = plan_of(QUERIES["plain_markup"](spark, "/root/testdata/sf0.001"))
     assert "MapInPandas" not in plan and "MapInArrow" not in plan  # a table of parsed packages, not packages again for each use
@@ -170,10 +169,14 @@ def test_a_large_file_is_read_in_parts(spark, tmp_path):
 
 
 def test_a_large_package_is_written_as_its_paragraphs_come(spark):
-    from docframe.plans.registry import QUERIES
-    from docframe.sources import writer
 
     assert "collect_list" not in plan_of(QUERIES["package_assets"](spark, "/root/testdata/sf0.001"))
     runs = [{"kind": "image", "data": PNG}, {"kind": "equation", "data": b"none"}]
     content = writer.Writer().package(({"runs": runs} for _ in range(3)), packed=True)
     assert sorted(zipfile.ZipFile(io.BytesIO(content)).namelist()) == ["word/_rels/document.xml.rels", "word/document.xml", "word/embeddings/oleObject2.bin", "word/media/image1.png"]
+
+
+def test_typeset_formulas_meet_a_table_of_packages(spark):
+
+    plan = plan_of(QUERIES["typeset_formulas"](spark, "/root/testdata/sf0.001"))
+    assert "collect_list" not in plan and "MapInPandas" not in plan
