@@ -36,6 +36,14 @@ def fold(text: Column) -> Column:
     return F.lower(strip(F.regexp_replace(bare, BLANK_RUN, " ")))
 
 
+def head(text: Column, most: int) -> Column:
+    """The beginning of a text with its first `most` characters that are neither white space nor marks, each of which folds
+    to one character at least; a text with fewer is as it was. fold(head(...)) begins with the same `most` characters as
+    fold of the whole, and is longer than most - 1 if and only if that is."""
+    skipped = rf"{BLANKS}\p{{Mn}}"
+    return F.regexp_replace(text, rf"(?s)^((?:[{skipped}]*+[^{skipped}]){{{most}}}).+$", "$1")
+
+
 def fold_plain(text: Column) -> Column:
     """Accents off and lower case, white space as it is."""
     return F.lower(F.translate(text, *_bare_letters()))

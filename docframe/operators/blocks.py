@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docframe.functions.text import fold, strip
+from docframe.functions.text import fold, head, strip
 from docframe.plans.config import BOLD_TITLES, NUMBERING, TITLE_KINDS
 
 
@@ -29,7 +29,7 @@ def numbering(text: Column) -> Column:
 def heading(text: Column, bold: Column, style: Column, most: int = 140) -> Column:
     """Whether a paragraph is a heading: by style, by a high numeral, or bold and title-like."""
     kind = numbering(text)["kind"]
-    title = ((text == F.upper(text)) & (text != F.lower(text))) | fold(text).isin(*BOLD_TITLES) | ((F.length(text) <= 80) & text.endswith(":") & ~text.rlike(r"^\([0-9]+\)"))
+    title = ((text == F.upper(text)) & (text != F.lower(text))) | fold(head(text, 1 + max(map(len, BOLD_TITLES)))).isin(*BOLD_TITLES) | ((F.length(text) <= 80) & text.endswith(":") & ~text.rlike(r"^\([0-9]+\)"))
     by_kind = F.when(kind.isin("roman", "arabic", "alpha_upper") & (bold | (F.length(text) <= 100)), True).when(kind.isin("alpha_lower", "dash", "star"), False)
     return F.length(text).between(1, most) & F.coalesce(style.startswith("Heading") | F.lit(False), F.lit(False)) | (
         F.length(text).between(1, most) & F.coalesce(by_kind, bold & title)
@@ -37,8 +37,9 @@ def heading(text: Column, bold: Column, style: Column, most: int = 140) -> Colum
 
 
 def title_kind(title: Column) -> Column:
-    folded = fold(title)
-    return F.coalesce(*[F.when(folded.startswith(prefix), F.lit(kind)) for prefix, kind in TITLE_KINDS], F.lit("concept"))
+    """What a title's beginning says of its section. The beginning is folded once, and no more of the title than it needs."""
+    begins = F.regexp_extract(fold(head(title, max(len(prefix) for prefix, _ in TITLE_KINDS))), f"^({'|'.join(prefix for prefix, _ in TITLE_KINDS)})", 1)
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in TITLE_KINDS for x in pair])[begins], F.lit("concept"))
 
 
 def bold_by_vote(bold_runs: Column, runs: Column) -> Column:
