@@ -50,6 +50,9 @@ def fold_plain(text: Column) -> Column:
 
 
 def slug(text: Column, most: int = 48) -> Column:
+    """At most `most` letters, digits and dashes. Each ASCII letter or digit is a character of the slug, so what comes after
+    one more than fit is not looked at."""
+    text = F.regexp_replace(text, rf"(?s)^((?:[^A-Za-z0-9]*+[A-Za-z0-9]){{{most + 1}}}).+$", "$1")
     dashed = F.regexp_replace(F.regexp_replace(fold(text), "[^a-z0-9]+", "-"), "^-|-$", "")
     return F.regexp_replace(F.substring(dashed, 1, most), "-+$", "")
 
