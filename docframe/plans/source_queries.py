@@ -237,9 +237,9 @@ def rendered_blocks(spark, sf_dir):
         .when(turn == 4, para(run("+ ý", bold=True), text(" ", k))).when(turn == 5, grid).when(turn == 6, para(run("tia Ox & "), run(k, underline=True))).otherwise(para(run("số"), formula, run("ở")))
     )
     place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
-    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", place.alias("i")).select("c_nationkey", "i", made.alias("p"))
-    packed = rows.groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "p"))), lambda v: v["p"]).alias("paragraphs"))
-    parsed = docx.parse(writer.packages(packed.select(F.concat(F.lit("/in/"), "c_nationkey", F.lit(".docx")).alias("path"), "paragraphs")))
+    rows = writer.gathered(table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey"), "c_nationkey", "c_custkey").select("c_nationkey", "c_custkey", place.alias("i"))
+    packed = writer.bundled(rows.select(F.concat(F.lit("/in/"), "c_nationkey", F.lit(".docx")).alias("path"), made.alias("paragraph")))
+    parsed = sinks.stage(docx.parse(packed), folder_of(spark), "parsed")
     shown = render.block_html(docx.blocks(parsed), render.asset_html(docx.assets(parsed)))
     return shown.select(number_of("path").alias("nation"), F.col("block_idx").cast("long").alias("place"), "html")
 

@@ -180,3 +180,7 @@ def test_typeset_formulas_meet_a_table_of_packages(spark):
 
     plan = plan_of(QUERIES["typeset_formulas"](spark, "/root/testdata/sf0.001"))
     assert "collect_list" not in plan and "MapInPandas" not in plan
+
+
+def test_rendered_blocks_meet_a_table_of_packages(spark):
+    assert "MapIn" not in plan_of(QUERIES["rendered_blocks"](spark, "/root/testdata/sf0.001"))
