@@ -196,7 +196,8 @@ def file_metadata(spark, sf_dir):
     head = F.when(c == 2, F.array(F.concat(F.lit("BÀI "), n, F.lit(": Tên chương")), F.concat(F.lit("VĂN BẢN 1: Đọc "), t))).otherwise(F.array(F.lit("Mở đầu")))
     found = docx.metadata(F.concat(path, F.lit(".docx")), head)
     names = ("subject", "title", "chapter", "doc_id")
-    return table(spark, sf_dir, "part").select("p_partkey", *[found[x].alias(x) for x in names], found["grade"].cast("long").alias("grade"), found["number"].cast("long").alias("number"))
+    rows = writer.spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    return rows.select("p_partkey", *[found[x].alias(x) for x in names], found["grade"].cast("long").alias("grade"), found["number"].cast("long").alias("number"))
 
 
 # ---- exercises -----------------------------------------------------------------------------------------------

@@ -184,3 +184,7 @@ def test_typeset_formulas_meet_a_table_of_packages(spark):
 
 def test_rendered_blocks_meet_a_table_of_packages(spark):
     assert "MapIn" not in plan_of(QUERIES["rendered_blocks"](spark, "/root/testdata/sf0.001"))
+
+
+def test_metadata_of_a_small_table_is_dealt_out(spark):
+    assert "REPARTITION_BY_NUM" in plan_of(QUERIES["file_metadata"](spark, "/root/testdata/sf0.001"))
