@@ -188,3 +188,8 @@ def test_rendered_blocks_meet_a_table_of_packages(spark):
 
 def test_metadata_of_a_small_table_is_dealt_out(spark):
     assert "REPARTITION_BY_NUM" in plan_of(QUERIES["file_metadata"](spark, "/root/testdata/sf0.001"))
+
+
+def test_equations_are_dealt_out_and_equal_ones_meet(spark):
+    plan = plan_of(QUERIES["equation_forms"](spark, "/root/testdata/sf0.001"))
+    assert "REPARTITION_BY_NUM" in plan and "Sort" in plan
