@@ -193,3 +193,8 @@ def test_metadata_of_a_small_table_is_dealt_out(spark):
 def test_equations_are_dealt_out_and_equal_ones_meet(spark):
     plan = plan_of(QUERIES["equation_forms"](spark, "/root/testdata/sf0.001"))
     assert "REPARTITION_BY_NUM" in plan and "Sort" in plan
+
+
+def test_lesson_sections_keep_the_theory_as_a_table(spark):
+    found = QUERIES["lesson_sections"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert found and all("theory-blocks" in f for f in found)
