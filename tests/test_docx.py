@@ -198,3 +198,8 @@ def test_equations_are_dealt_out_and_equal_ones_meet(spark):
 def test_lesson_sections_keep_the_theory_as_a_table(spark):
     found = QUERIES["lesson_sections"](spark, "/root/testdata/sf0.001").inputFiles()
     assert found and all("theory-blocks" in f for f in found)
+
+
+def test_documents_go_on_in_arrow_batches(spark):
+    plan = plan_of(QUERIES["package_blocks"](spark, "/root/testdata/sf0.001"))
+    assert "MapInPandas" not in plan and plan.count("MapInArrow") == 2
