@@ -203,3 +203,7 @@ def test_lesson_sections_keep_the_theory_as_a_table(spark):
 def test_documents_go_on_in_arrow_batches(spark):
     plan = plan_of(QUERIES["package_blocks"](spark, "/root/testdata/sf0.001"))
     assert "MapInPandas" not in plan and plan.count("MapInArrow") == 2
+
+
+def test_packages_go_on_when_they_are_large():
+    assert [b.num_rows for b in writer._handed_on((str(i), bytes(1 << 20)) for i in range(10))] == [4, 4, 2]
