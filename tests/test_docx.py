@@ -2,13 +2,14 @@ import io
 import struct
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docframe.operators import labelling
 from docframe.plans import exercises, lessons, package_queries, source_queries  # noqa: F401
 from docframe.plans.registry import QUERIES
-from docframe.sources import docx, sinks, writer
+from docframe.sources import docx, ooxml, sinks, writer
 from docframe.sources.cfb import equation_stream
 from docframe.streaming import ingest
 
@@ -207,3 +208,23 @@ def test_documents_go_on_in_arrow_batches(spark):
 
 def test_packages_go_on_when_they_are_large():
     assert [b.num_rows for b in writer._handed_on((str(i), bytes(1 << 20)) for i in range(10))] == [4, 4, 2]
+
+
+def test_documents_are_dealt_out_before_their_packages_are_written(spark):
+    assert "REPARTITION_BY_NUM" in plan_of(QUERIES["package_blocks"](spark, "/root/testdata/sf0.001"))
+
+
+def test_nested_columns_become_the_objects_they_are():
+    run = pa.struct([("text", pa.string()), ("bold", pa.bool_()), ("n", pa.int32()), ("data", pa.binary())])
+    rows = [
+        [{"runs": [{"text": "a", "bold": True, "n": 1, "data": b"\0"}, {"text": None, "bold": None, "n": None, "data": None}], "cells": [[]]}, None], None, [],
+        [{"runs": None, "cells": None}, {"runs": [], "cells": [[None, {"text": "ô", "bold": False, "n": 2, "data": b""}], None]}],
+    ]
+    made = pa.array(rows * 3, pa.list_(pa.struct([("runs", pa.list_(run)), ("cells", pa.list_(pa.list_(run)))])))
+    for at in range(5):
+        assert writer.objects(made.slice(at, 6)) == made.slice(at, 6).to_pylist()
+
+
+def test_blanks_become_one_space():
+    texts = ["a  b", "a\tb", "a b", "a \t  b", "a b", " a", "a\nb"]
+    assert [ooxml.squeezed(t) for t in texts] == ["a b", "a b", "a b", "a b", "a b", " a", "a\nb"]
