@@ -10,6 +10,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docframe.formula import mtef, omml
 from docframe.functions import tex
@@ -208,10 +209,11 @@ def file_metadata(spark, sf_dir):
 
 
 def _questions(spark, sf_dir) -> DataFrame:
-    """Parsed packages, one a conversation: a level for each system turn, a question for any other, of nine kinds."""
+    """Parsed packages, one a conversation: a level for each system turn, a question for any other, of nine kinds. Paragraphs
+    reach the writer as rows of their own, in order: what it holds does not grow with how many conversations a task has."""
     start, end = para("A. KIẾN THỨC TRỌNG TÂM"), para("B. BÀI TẬP")
     turn, kind = F.col("turn").cast("string"), (F.col("conv_id") + F.col("turn")) % 9
-    stem = F.concat(F.lit("Câu "), turn, F.lit(". "), F.md5(F.col("text").cast("binary")))
+    stem = F.concat(F.lit("Câu "), turn, F.lit(". "), F.col("_m"))
     asked = lambda *more: F.array(para(run(stem)), *more)
     lettered = [para(run(F.concat(F.lit(f"{c}. {c.lower()}"), turn))) for c in "ABCD"]
     made = (
@@ -226,10 +228,13 @@ def _questions(spark, sf_dir) -> DataFrame:
         .when(kind == 7, asked(para("Lời giải"), para("Chấm theo thang điểm")))
         .otherwise(asked(para("A. a) x"), para("B. b) y"), para("Đáp án: A, B"), para("a) đúng b) sai")))
     )
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("_p"))
-    grouped = rows.groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "_p"))), lambda v: v["_p"])).alias("_all"))
-    packed = grouped.select(F.concat(F.lit("/in/"), "conv_id", F.lit(".docx")).alias("path"), F.concat(F.array(start, para("1. x"), end), "_all").alias("paragraphs"))
-    return sinks.stage(docx.parse(writer.packages(packed)), folder_of(spark), "parsed")
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("_m"))
+    order = ("turn", "_p")
+    turns = writer.spread(said, "conv_id").select("conv_id", "turn", made.alias("_p")).sortWithinPartitions("conv_id", *order)
+    turns = turns.withColumn("_n", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order)))
+    every = F.when(F.col("_n") == 1, F.concat(F.array(start, para("1. x"), end), "_p")).otherwise(F.col("_p"))
+    rows = turns.select("conv_id", F.explode(every).alias("paragraph")).select(F.concat(F.lit("/in/"), "conv_id", F.lit(".docx")).alias("path"), "paragraph")
+    return sinks.stage(docx.parse(writer.bundled(rows)), folder_of(spark), "parsed")
 
 
 ASKED = """a AS (SELECT *, (conv_id + turn) % 9 AS k, md5(text) AS m, last_value(CASE WHEN role = 'system' THEN 1 + turn % 3 END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS num FROM conversations),
@@ -278,7 +283,7 @@ def exercise_pages(spark, sf_dir):
 def exercise_records(spark, sf_dir):
     """Questions as the records that deliveries hold, taken apart again."""
     parsed = _questions(spark, sf_dir)
-    questions = exercises.questions(parsed)
+    questions = sinks.stage(exercises.questions(parsed), folder_of(spark), "questions")
     made = exercises.records(questions, docx.described(docx.blocks(parsed))).join(exercises.audit(questions).select(*exercises.KEY, "flags"), list(exercises.KEY))
     read = F.from_json("json", "_id struct<`$oid`:string>, type string, choices array<struct<id:int,content:string>>, cognitive_level string, `order` long")
     rows = made.withColumn("_r", read)
@@ -327,8 +332,6 @@ NODES = LINES + f""", z AS (SELECT doc_id, block_idx, regexp_replace(nfc_normali
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block_idx) AS place, level, numbering, md5(title) AS title_md5, tree_path, {KIND_SQL} AS title_kind FROM g""")
 def lesson_sections(spark, sf_dir):
     """The nodes of lessons read from packages, with what stands before the first heading."""
-    from pyspark.sql.window import Window
-
     _, kept = lessons.theory(_lessons(spark, sf_dir))
     kept = sinks.stage(kept, folder_of(spark), "theory-blocks")
     place = F.row_number().over(Window.partitionBy("path").orderBy("at")).cast("long")

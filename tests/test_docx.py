@@ -228,3 +228,10 @@ def test_nested_columns_become_the_objects_they_are():
 def test_blanks_become_one_space():
     texts = ["a  b", "a\tb", "a b", "a \t  b", "a b", " a", "a\nb"]
     assert [ooxml.squeezed(t) for t in texts] == ["a b", "a b", "a b", "a b", "a b", " a", "a\nb"]
+
+
+def test_conversations_reach_the_writer_paragraph_by_paragraph(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "stage", lambda rows, *_: rows)
+    parsed = package_queries._questions(spark, "/root/testdata/sf0.001")
+    assert "collect_list" not in plan_of(parsed) and "REPARTITION_BY_NUM" in plan_of(parsed)
+    assert docx.blocks(parsed).groupBy("path").agg(F.count_if(F.col("text") == "B. BÀI TẬP").alias("n")).where("n <> 1").count() == 0
