@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docframe.functions.text import definition_list, file_slug, fold, head, ray_names
+from docframe.functions.text import definition_list, file_slug, fold_short, ray_names
 from docframe.operators import questions as Q
 from docframe.operators import render
 from docframe.operators import structure as S
@@ -21,8 +21,9 @@ def parts(parsed: DataFrame) -> DataFrame:
     paragraph, after the one that names the question, that holds a choice's mark; the tail at the first that announces
     an answer. Files without an end of their theory have no exercises."""
     rows = docx.blocks(parsed)
-    folded, para = fold(head(F.col("text"), 81)), F.col("kind") == "para"
-    limits = S.bounds(rows, folded.rlike(config.THEORY_START) & F.length(folded).between(1, 80), folded.rlike(config.THEORY_END) & (F.length(folded) <= 80), "path")
+    folded, para = F.col("_f"), F.col("kind") == "para"
+    beginnings = rows.select("path", "block_idx", fold_short(F.col("text"), 80).alias("_f"))  # a column: folded once
+    limits = S.bounds(beginnings, folded.rlike(config.THEORY_START) & F.length(folded).between(1, 80), folded.rlike(config.THEORY_END) & (F.length(folded) <= 80), "path")
     body = S.between(rows, limits, "exercise", "path").withColumn("_lv", F.when(para, Q.heading_level(F.col("text"))))
     leveled = S.as_of(body, F.col("_lv"), "level", "path", "block_idx")
     option, answer = para & F.col("text").rlike(config.OPTION), para & F.col("text").rlike(config.ANSWER_HEAD)

@@ -235,3 +235,9 @@ def test_conversations_reach_the_writer_paragraph_by_paragraph(spark, monkeypatc
     parsed = package_queries._questions(spark, "/root/testdata/sf0.001")
     assert "collect_list" not in plan_of(parsed) and "REPARTITION_BY_NUM" in plan_of(parsed)
     assert docx.blocks(parsed).groupBy("path").agg(F.count_if(F.col("text") == "B. BÀI TẬP").alias("n")).where("n <> 1").count() == 0
+
+
+def test_lesson_documents_keep_the_limits_as_a_table(parsed):
+    kept = []
+    lessons.documents(parsed, work=lambda rows, name: kept.append(name) or rows)
+    assert kept[0] == "theory-limits" and len(set(kept)) == 4
